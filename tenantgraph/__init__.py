@@ -1,0 +1 @@
+"""A PySpark-native analytics engine for typed, multi-tenant property graphs."""
