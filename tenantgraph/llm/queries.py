@@ -88,3 +88,59 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_quality_rules, op2_best_fit_packing, op3_exact_topk, op4_chat_format, op5_simhash, op6_token_counts, op7_mixing, op8_substring_dedup, op9_line_dedup, op10_pii, pipeline)
     return {f.__name__: f for f in own}
+
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_PARTS = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, %s AS w FROM documents),
+win AS (SELECT r, k, i, array_to_string(w[i:i + k - 1], ' ') AS g FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (VALUES (5), (10), (51)) AS s(k))),
+rep AS (SELECT r, k, i FROM (SELECT r, k, i, count(*) OVER (PARTITION BY r, k, g) AS n FROM win) WHERE n > 1),
+cover AS (SELECT r, count(DISTINCT p) FILTER (k = 5) AS n_repeat_words, count(DISTINCT p) FILTER (k = 10) AS covered_words, bool_or(k = 51) AS long_repeat
+  FROM (SELECT r, k, unnest(range(i, i + k)) AS p FROM rep) GROUP BY r),
+l AS (SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars, length(regexp_replace(text, '[^#*$%%&|<>]', '', 'g')) AS n_symbols,
+  coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(covered_words, 0) AS covered_words, coalesce(long_repeat, FALSE) AS long_repeat
+  FROM d LEFT JOIN cover USING (r) LEFT JOIN l USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, covered_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 100 * covered_words <= 15 * n_words AND NOT long_repeat AS kept FROM m
+""" % _WORDS
+
+_TOPK = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+_MIX = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>]'))::DOUBLE AS symbols,
+  (CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT)::DOUBLE + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u FROM documents),
+k AS (SELECT *, -ln(u) / (1.0::DOUBLE / (1.0::DOUBLE + 4.0::DOUBLE * symbols / greatest(size, 1)::DOUBLE)) AS key FROM d),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM k GROUP BY source),
+w AS (SELECT *, [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INTEGER)] AS weight, source_size * 3.0::DOUBLE AS most FROM s),
+b AS (SELECT *, sum(source_size) OVER ()::DOUBLE AS total, sum(weight) OVER () AS weights, coalesce(sum(most) OVER f, 0) AS most_before, coalesce(sum(weight) OVER f, 0) AS weight_before FROM w
+  WINDOW f AS (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+c AS (SELECT *, most * (weights - weight_before) <= weight * (total - most_before) AS is_full FROM b),
+t AS (SELECT source, source_size, CASE WHEN is_full THEN most ELSE weight * ((total - coalesce(sum(most) FILTER (is_full) OVER (), 0)) / sum(weight) FILTER (NOT is_full) OVER ()) END AS target FROM c),
+e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS epochs FROM t),
+p AS (SELECT k.*, e.source_size, e.target, e.epochs, e.target - e.epochs * e.source_size AS part,
+  coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY key, k.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS prefix FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source),
+x AS (SELECT *, max(key) FILTER (prefix + size / 2.0::DOUBLE <= part) OVER (PARTITION BY source) AS cut FROM p)
+SELECT doc_id, size, source_size, target, size * (epochs + CASE WHEN key <= cut THEN 1 ELSE 0 END) AS taken FROM x
+"""
+
+_LINES = r"""
+WITH p AS (SELECT row_number() OVER () AS r, page_id, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host, string_split(regexp_replace(html, '<[^>]*>', chr(10), 'g'), chr(10)) AS lines FROM pages),
+l AS (SELECT r, host, pos, line FROM (SELECT r, host, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS pos FROM p) WHERE trim(line) <> ''),
+t AS (SELECT host, count(*) AS n FROM p GROUP BY host),
+bad AS (SELECT l.host, trim(line) AS line FROM l JOIN t ON l.host IS NOT DISTINCT FROM t.host GROUP BY l.host, trim(line), n HAVING count(DISTINCT r) >= 5 AND count(DISTINCT r) > n * 0.1::DOUBLE),
+m AS (SELECT l.*, bad.line IS NOT NULL AS gone FROM l LEFT JOIN bad ON bad.host IS NOT DISTINCT FROM l.host AND bad.line = trim(l.line)),
+a AS (SELECT r, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone) AS kept FROM m GROUP BY r)
+SELECT page_id, host, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, CASE WHEN lines IS NOT NULL THEN md5(coalesce(kept, '')) END AS kept_md5 FROM p LEFT JOIN a USING (r)
+"""
+
+
+def oracle_sql() -> dict[str, str]:
+    """Tokens, XXH64, components, transducers and SHA-256 over control strings are beyond SQL; tests hold those against brute force."""
+    return {"op1_quality_rules": _PARTS, "op3_exact_topk": _TOPK, "op7_mixing": _MIX, "op9_line_dedup": _LINES}
