@@ -1,10 +1,11 @@
 """Substring dedup by hashing units of text.
 
-A text is cut into units at line ends, after sentence ends and before capitalised words, so a passage is cut alike
-wherever it stands, also in the middle of another sentence. Units are normalised (lower case, single spaces) and hashed to
+A text is cut into units at line ends, and inside a line after sentence ends and before capitalised words; there, pieces
+join until they have five words, since shorter ones recur in any corpus. A passage so is cut alike wherever it stands,
+also in the middle of another sentence, from its first longer piece on. Units are normalised (lower case, single spaces) and hashed to
 128 bits. Digests are grouped over the whole corpus; the earliest occurrence (smallest id, then first in the text) stays.
 The others are repeats, and runs of neighbouring repeats with at least `min_words` words in all are removed as spans of
-the source text. Shorter runs stay: a sentence of three words recurs in any corpus.
+the source text. Shorter runs stay.
 
 The groups are two numbers per digest (count and smallest id), summed where the rows are, so a line that a third of all
 texts hold is one row. Only repeats go on: units meet the repeated digests in a sort-merge join, where adaptive
@@ -27,16 +28,21 @@ from pyspark.sql import functions as F
 
 from tenantgraph.llm.shared import slices, stash
 
-_CUT = re.compile(r"\s*\n\s*|(?<=[.!?。！？])\s+|\s+(?=[A-ZÀ-ÖØ-Þ])")
+_CUT = re.compile(r"\s*\n\s*|(?<=[.!?。！？])\s+|\s+(?=[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ])")
+_LEAST = 5
 
 
 def units(text: str | None) -> list[tuple[int, int, int, bytes]]:
     """(start, end, words, digest) of each unit that has a word."""
     out = []
-    at = 0
-    for start, end in [m.span() for m in _CUT.finditer(text)] + [(len(text), len(text))] if text else []:
-        if start > at and (words := text[at:start].lower().split()):
-            out.append((at, start, len(words), xxhash.xxh3_128_digest(" ".join(words).encode())))
+    at, began, words = 0, 0, []
+    for start, end, hard in [(*m.span(), "\n" in m[0]) for m in _CUT.finditer(text)] + [(len(text), len(text), True)] if text else []:
+        if not words:
+            began = at
+        words += text[at:start].lower().split()
+        if words and (hard or len(words) >= _LEAST):
+            out.append((began, start, len(words), xxhash.xxh3_128_digest(" ".join(words).encode())))
+            words = []
         at = end
     return out
 
