@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenantgraph.llm.shared import n_words, stash
+from tenantgraph.llm.shared import checked, n_words, stash
 
 SYMBOLS = "[#*$%&|<>]"
 
@@ -84,13 +84,13 @@ def plan(rows: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: float = 3
     cuts = inside.where(F.col("prefix") + F.col("size") / 2 <= F.col("part")).groupBy("of").agg(F.max("key").alias("key_cut"))
     # With no key taken in the last band, the cut lies where that band begins.
     cuts = ends.select("of", "end_band").join(cuts.withColumnRenamed("of", "of2"), F.col("of").eqNullSafe(F.col("of2")), "left").select("of", "end_band", "key_cut")
-    return of_source.join(cuts, of_source.source.eqNullSafe(cuts.of), "left").select("source", "source_size", "target", "epochs", "end_band", "key_cut")
+    return of_source.join(cuts, of_source.source.eqNullSafe(cuts.of), "left").select("source", "source_size", "target", "epochs", "part", "end_band", "key_cut")
 
 
 def copies(key: Column, of: str = "", buckets: int = 4096) -> Column:
     """How often the mix takes a row with that key; of: the prefix of its source's columns."""
     own, end = band(key, buckets), F.col(f"{of}end_band")
-    taken = (own < end) | ((own == end) & (key <= F.col(f"{of}key_cut")))
+    taken = (F.col(f"{of}part") > 0) & ((own < end) | ((own == end) & (key <= F.col(f"{of}key_cut"))))
     return F.col(f"{of}epochs") + F.coalesce(taken, F.lit(False)).cast("long")
 
 
@@ -98,7 +98,7 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "s
     """(id, size, source_size, target, taken), one row per row of docs."""
     size, key = keyed(docs, id_col, source_col, text_col)
     rows = stash(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"), key.alias("key")), "mixing-rows")
-    sources = plan(rows.select("source", "size", "key"), weights, cap).withColumnRenamed("source", "of")
+    sources = checked(stash(plan(rows.select("source", "size", "key"), weights, cap).withColumnRenamed("source", "of"), "mixing-plan"))
     joined = rows.join(sources, rows.source.eqNullSafe(sources.of))
     return joined.select(F.col("id").alias(id_col), "size", "source_size", "target", (F.col("size") * copies(F.col("key"))).alias("taken"))
 
@@ -108,7 +108,7 @@ def mixed(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source"
     columns = docs.columns
     size, key = keyed(docs, id_col, source_col, text_col)
     rows = stash(docs.select(F.col(source_col).alias("source"), size.alias("size"), key.alias("key")), "mixing-rows")
-    sources = stash(plan(rows, weights, cap).select(F.struct("source", "epochs", "end_band", "key_cut").alias("__tg_plan")), "mixing-plan")
-    joined = docs.withColumn("__tg_key", key).join(sources, F.col(source_col).eqNullSafe(F.col("__tg_plan.source")))
+    sources = stash(plan(rows, weights, cap).select(F.struct("source", "epochs", "part", "end_band", "key_cut").alias("__tg_plan")), "mixing-plan")
+    joined = docs.withColumn("__tg_key", key).join(checked(sources), F.col(source_col).eqNullSafe(F.col("__tg_plan.source")))
     times = copies(F.col("__tg_key"), "__tg_plan.")
     return joined.withColumn("__tg_copy", F.explode(F.array_repeat(F.lit(0), times.cast("int")))).select(*columns)

@@ -42,6 +42,11 @@ def discard(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def checked(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """A stashed table with a broadcast hint where it is counted to have at most so many rows, else as it is."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def n_words(text: Column) -> Column:
     """Words of a text as long; a null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
