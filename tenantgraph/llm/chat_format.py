@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenantgraph.llm.chat_template import Reader, formatter
+from tenantgraph.llm.shared import map_batches
 
 
 def ordered(conversations: DataFrame) -> DataFrame:
@@ -53,7 +54,7 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
         template, _ = formatter()
         return _stream(batches, lambda conv, messages: ((conv, i, text, loss) for i, (text, loss) in enumerate(template.render(messages=messages)) if text), schema)
 
-    return ordered(conversations).mapInArrow(run, "conv_id long, piece long, text string, under_loss boolean")
+    return map_batches(ordered(conversations), run, "conv_id long, piece long, text string, under_loss boolean")
 
 
 def read_back(conversations: DataFrame) -> DataFrame:
@@ -83,4 +84,4 @@ def read_back(conversations: DataFrame) -> DataFrame:
         template, _ = formatter()
         return _stream(batches, lambda conv, messages: iter([digest(conv, template.render(messages=messages))]), schema)
 
-    return ordered(conversations).mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return map_batches(ordered(conversations), run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenantgraph.llm.shared import slices, stash
+from tenantgraph.llm.shared import map_batches, slices, stash
 from tenantgraph.llm.tokens import token_bytes
 
 Groups = list[tuple[tuple[int, ...], int]]
@@ -168,7 +168,7 @@ def pieces(docs: DataFrame, *, id_col: str, text_col: str, capacity: int, separa
             columns = [pa.array(c, t) for c, t in zip(out, kinds, strict=True)][: 5 if with_ids else 4]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), *columns], ["id", "piece", "start", "length", "ids_crc32", "ids"][: 1 + len(columns)])
 
-    return read.mapInArrow(run, f"id {read.schema['id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids)
+    return map_batches(read, run, f"id {read.schema['id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids)
 
 
 def place(cut: DataFrame, capacity: int, rows_each: int = 100_000, salts: int = 64) -> DataFrame:

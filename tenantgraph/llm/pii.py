@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenantgraph.llm.shared import slices
+from tenantgraph.llm.shared import map_batches, slices
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, int]  # start, end, index of the kind
@@ -199,7 +199,7 @@ def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([typed(b) for b in base], span), pa.array([typed(e) for e in every], span)], [id_col, "base", "spans"])
 
     kind = read.schema[id_col].dataType.simpleString()
-    return read.mapInArrow(run, f"`{id_col}` {kind}, base array<struct<start:long,end:long,kind:string>>, spans array<struct<start:long,end:long,kind:string>>")
+    return map_batches(read, run, f"`{id_col}` {kind}, base array<struct<start:long,end:long,kind:string>>, spans array<struct<start:long,end:long,kind:string>>")
 
 
 def joined(spans: str) -> Column:

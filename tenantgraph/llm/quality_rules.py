@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenantgraph.llm.shared import slices
+from tenantgraph.llm.shared import map_batches, slices
 
 SYMBOLS = b"#*$%&|<>"
 _NOT_IN_WORDS = bytes([*range(0x80, 0xC0), *b" \t\n\x0b\x0c\r"])  # with the continuation bytes gone, bytes are code points
@@ -134,4 +134,4 @@ def quality_rules(
             arrays = [batch.column(0), *[batch.column(2 + i) for i in range(len(keep))], *map(pa.array, m.values()), pa.array(failed), pa.array(kept)]
             yield pa.RecordBatch.from_arrays(arrays, [id_col, *keep, *m, "base_failed", "kept"])
 
-    return read.mapInArrow(run, schema)
+    return map_batches(read, run, schema)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 #: A word is a maximal run of anything but space, tab, newline, vertical tab, form feed, carriage return.
 #: ``bytes.split()`` without arguments cuts UTF-8 texts at exactly these six bytes.
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -52,6 +53,15 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """mapInArrow over batches of a few megabytes. A batch lies in the executor's and the Python worker's memory several
+    times over, beside the operator's own; a size that the session has set itself stays."""
+    spark = df.sparkSession
+    if spark.conf.get(BATCH_BYTES) == "67108864b":  # Spark's default
+        spark.conf.set(BATCH_BYTES, str(4 << 20))
+    return df.mapInArrow(run, schema)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: int, max_bytes: int = 2 << 20) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Cut record batches so that the values of one text column stay near max_bytes; a longer text comes alone."""
     for batch in batches:

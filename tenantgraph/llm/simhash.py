@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenantgraph.llm.shared import slices, stash
+from tenantgraph.llm.shared import map_batches, slices, stash
 
 TRIPLES = [t for half in (range(4), range(4, 8)) for t in combinations(half, 3)]
 NIBBLES = list(combinations(range(16), 3))
@@ -89,7 +89,7 @@ def with_fingerprints(docs: DataFrame, id_col: str, text_col: str, width: int) -
         for batch, texts in slices(batches, 1, 1 << 20):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fingerprints(texts, width))], ["id", "fp"])
 
-    return read.mapInArrow(run, f"id {read.schema['id'].dataType.simpleString()}, fp long")
+    return map_batches(read, run, f"id {read.schema['id'].dataType.simpleString()}, fp long")
 
 
 def forest(members: np.ndarray, max_bits: int = 3) -> list[tuple[int, int]]:

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenantgraph.llm.shared import slices, stash
+from tenantgraph.llm.shared import map_batches, slices, stash
 
 _CUT = re.compile(r"\s*\n\s*|(?<=[.!?。！？])\s+|\s+(?=[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ])")
 _LEAST = 5
@@ -69,7 +69,7 @@ def extract(docs: DataFrame, id_col: str, text_col: str, places: bool) -> DataFr
                 columns += [pa.array(x, pa.int32()) for x in (number, *([u[k] for u in found] for k in range(3)))]
             yield pa.RecordBatch.from_arrays(columns, ["id", "d1", "d2", "nth", "k", "start", "end", "words"][: len(columns)])
 
-    return read.mapInArrow(run, f"id {read.schema['id'].dataType.simpleString()}, d1 long, d2 long, nth int" + ", k int, start int, `end` int, words int" * places)
+    return map_batches(read, run, f"id {read.schema['id'].dataType.simpleString()}, d1 long, d2 long, nth int" + ", k int, start int, `end` int, words int" * places)
 
 
 def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = 20) -> DataFrame:

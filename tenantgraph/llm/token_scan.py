@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tenantgraph.llm.shared import discard, new_path, slices, stash
+from tenantgraph.llm.shared import discard, map_batches, new_path, slices, stash
 from tenantgraph.llm.tokens import token_bytes
 
 END = 50256
@@ -62,7 +62,7 @@ def write_token_files(docs: DataFrame, folder: str, *, id_col: str = "doc_id", t
                 nth += k
         fs.move(own, path)
 
-    return read.mapInArrow(run, f"file string, at long, nth long, id {read.schema['id'].dataType.simpleString()}")
+    return map_batches(read, run, f"file string, at long, nth long, id {read.schema['id'].dataType.simpleString()}")
 
 
 def scan_block(tokens: np.ndarray, end: int) -> tuple[int, int, int, int, np.ndarray]:
