@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenantgraph.functions.expr import call, if_, lit, ref
@@ -66,13 +66,11 @@ VECTOR = Resource("embeddings", (A("vec_id", "integer", pk=True), A("embedding",
     vector_indexes=(VectorIndex("embedding", 64),), sparse_indexes=(SparseIndex("terms", "tokens", "weights"),))
 DOT = Resource("embeddings", VECTOR.attributes, vector_indexes=(VectorIndex("embedding", 64, "dot_product"),))
 L2 = Resource("embeddings", VECTOR.attributes, vector_indexes=(VectorIndex("embedding", 64, "euclidean"),))
-USER = Resource("users", (A("user_id", "integer", pk=True), A("band", "integer")))
 VIEWS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "customer": lambda s, d: s.read.parquet(f"{d}/customer.parquet").withColumn("bal", F.when(F.col("c_custkey") % 7 != 0, F.col("c_acctbal"))).withColumn("parent", F.floor(F.col("c_custkey") / 3)),
     "embeddings": lambda s, d: s.read.parquet(f"{d}/embeddings.parquet")
     .withColumn("__p", F.filter(F.transform("embedding", lambda x, i: F.struct(i.cast("long").alias("t"), x.cast("double").alias("w"))), lambda p: p["w"] > 0.1))
     .withColumns({"tokens": F.transform("__p", lambda p: p["t"]), "weights": F.transform("__p", lambda p: p["w"])}),
-    "users": lambda s, d: s.read.parquet(f"{d}/events.parquet").select("user_id").distinct().withColumn("band", F.col("user_id") % 10),
 }
 CUST = "(SELECT *, CASE WHEN c_custkey % 7 <> 0 THEN c_acctbal END AS bal, c_custkey // 3 AS parent FROM customer)"
 
@@ -402,7 +400,7 @@ def relagg_empty_default(spark, d):
     return out.select("c_custkey", F.round("hi", 4).alias("hi"), "n")
 
 
-# Traversal: a tree of customers, and a cyclic graph of users
+# Traversal: a tree and a cyclic graph of all customers
 
 
 def tree(spark: SparkSession, d: str) -> DataFrame:
@@ -410,15 +408,16 @@ def tree(spark: SparkSession, d: str) -> DataFrame:
     return c.select(F.col("c_custkey").alias("edge_id"), F.col("parent").alias("src"), F.col("c_custkey").alias("dst"), F.when(F.col("c_custkey") % 5 != 0, F.lit("BUILDING")).alias("tenant"))
 
 
-def users(spark: SparkSession, d: str) -> DataFrame:
-    e = spark.read.parquet(f"{d}/events.parquet").select("event_id", "user_id")
-    e = e.withColumn("src", F.lag("user_id").over(Window.orderBy("event_id")))
-    return e.where("src is not null and event_id % 40 = 0").select(F.col("event_id").alias("edge_id"), "src", F.col("user_id").alias("dst"))
+def cyclic(spark: SparkSession, d: str) -> DataFrame:
+    """Two edges from every customer, c to 2 c + 1 and c to c // 2: cycles of two edges everywhere, and a loop at 0."""
+    c = F.col("c_custkey").cast("long")
+    edges = F.array(*[F.struct((2 * c + i).alias("edge_id"), c.alias("src"), to.cast("long").alias("dst")) for i, to in enumerate((2 * c + 1, F.floor(c / 2)))])
+    return spark.read.parquet(f"{d}/customer.parquet").select(F.inline(edges))
 
 
 FREE = Resource("customer", CUSTOMER.attributes)
 _TREE = "tree AS (SELECT c_custkey AS edge_id, c_custkey // 3 AS src, c_custkey AS dst, CASE WHEN c_custkey % 5 <> 0 THEN 'BUILDING' END AS tenant FROM customer WHERE c_custkey > 0)"
-_USERS = "tree AS (SELECT event_id AS edge_id, src, user_id AS dst FROM (SELECT event_id, user_id, lag(user_id) OVER (ORDER BY event_id) AS src FROM events) WHERE src IS NOT NULL AND event_id % 40 = 0)"
+_CYCLIC = "tree AS (SELECT 2 * c_custkey AS edge_id, c_custkey AS src, 2 * c_custkey + 1 AS dst FROM customer UNION ALL SELECT 2 * c_custkey + 1, c_custkey, c_custkey // 2 FROM customer)"
 
 
 def _walk(edges: str, sources: str, depth: int, least: int = 1, node: str = "TRUE") -> str:
@@ -435,7 +434,7 @@ def _reach(spark, d, t: Traversal, q: Query, dest: Query, edges: DataFrame) -> D
 
 _SEGMENT = "v IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')"
 _ALL = "SELECT c_custkey AS v FROM customer"
-_VIPS = "SELECT DISTINCT user_id AS v FROM events"
+_ANY_CUSTOMER = "v IN (SELECT c_custkey FROM customer)"
 
 
 @query(_walk(f"{_TREE}, e AS (SELECT * FROM tree)", _ALL, 3, node="v IN (SELECT c_custkey FROM customer)"))
@@ -450,22 +449,22 @@ def traverse_in(spark, d):
     return _reach(spark, d, Traversal("PARENT_OF", 3, "incoming"), q, q, tree(spark, d))
 
 
-@query(_walk(f"{_USERS}, e AS (SELECT * FROM tree UNION SELECT edge_id, dst, src FROM tree)", _VIPS, 2))
+@query(_walk(f"{_CYCLIC}, e AS (SELECT * FROM tree UNION SELECT edge_id, dst, src FROM tree)", _ALL, 2, node=_ANY_CUSTOMER))
 def traverse_both(spark, d):
-    q = on(USER, spark, d)
-    return _reach(spark, d, Traversal("NEXT", 2, "both"), q, q, users(spark, d))
+    q = on(FREE, spark, d)
+    return _reach(spark, d, Traversal("NEXT", 2, "both"), q, q, cyclic(spark, d))
 
 
-@query(_walk(f"{_USERS}, e AS (SELECT * FROM tree)", _VIPS, 3, 2))
+@query(_walk(f"{_CYCLIC}, e AS (SELECT * FROM tree)", _ALL, 3, 2, _ANY_CUSTOMER))
 def traverse_min2(spark, d):
-    q = on(USER, spark, d)
-    return _reach(spark, d, Traversal("NEXT", 3, min_depth=2), q, q, users(spark, d))
+    q = on(FREE, spark, d)
+    return _reach(spark, d, Traversal("NEXT", 3, min_depth=2), q, q, cyclic(spark, d))
 
 
-@query(_walk(f"{_USERS}, e AS (SELECT * FROM tree)", _VIPS, 3))
+@query(_walk(f"{_CYCLIC}, e AS (SELECT * FROM tree)", _ALL, 3, node=_ANY_CUSTOMER))
 def traverse_cycle_trail(spark, d):
-    q = on(USER, spark, d)
-    return _reach(spark, d, Traversal("NEXT", 3), q, q, users(spark, d))
+    q = on(FREE, spark, d)
+    return _reach(spark, d, Traversal("NEXT", 3), q, q, cyclic(spark, d))
 
 
 @query(_walk(f"{_TREE}, e AS (SELECT * FROM tree)", _ALL, 3, node=_SEGMENT))
