@@ -4,15 +4,15 @@ A change row: commit_lsn long, seq long, op (insert, update, delete, truncate),
 old_record map<string,string>. Columns that a record lacks keep their value. Data and watermark are committed in one
 manifest, and transactions at or below the watermark are skipped, so a batch that Spark delivers again changes nothing.
 
-The fold is distributed: changes of one key are ordered by (lsn, seq), a delete forgets what came before, later values win
-column by column. Truncates are barriers: per table only what follows the last one counts.
+The fold is one aggregate of maxima over (lsn, seq), summed where the changes are before anything is shuffled, so a key with
+a third of all changes is one row per task: a delete forgets what came before, later values win column by column. Truncates are barriers: per table only what follows the last one counts.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -66,13 +66,17 @@ def folded(changes: DataFrame, spec: MirrorSpec) -> DataFrame:
     gone = rows.where(removal).select(*[old(k).alias(k) for k in keys], "at", F.lit(0).alias("step"), F.lit(None).cast("map<string,string>").alias("given"))
     put = rows.where("op <> 'delete'").select(*[of("record", k).alias(k) for k in keys], "at", F.lit(1).alias("step"), F.col("record").alias("given"))
     both = gone.unionByName(put).withColumn("at", F.struct("at", "step"))
-    last_gone = F.max(F.when(F.col("step") == 0, F.col("at"))).over(Window.partitionBy(*keys))
-    both = both.withColumn("last_gone", last_gone).where(F.col("last_gone").isNull() | (F.col("at") >= F.col("last_gone")))
+    values = [c for c in r.stored if c not in keys]
+    has = lambda c: F.map_contains_key("given", F.lit(spec.source_of(c)))
     out = both.groupBy(*keys).agg(
-        F.bool_or(F.col("last_gone").isNotNull()).alias("__tg_gone"), F.bool_or(F.col("step") == 1).alias("__tg_live"),
-        *[F.max_by(F.struct(F.element_at("given", spec.source_of(c)).alias("v"), F.lit(True).alias("given")), F.when(F.map_contains_key("given", F.lit(spec.source_of(c))), F.col("at"))).alias(f"__tg_{c}") for c in r.stored if c not in keys],
+        F.max(F.when(F.col("step") == 0, F.col("at"))).alias("last_gone"), F.max(F.when(F.col("step") == 1, F.col("at"))).alias("last_put"),
+        *[F.max(F.when(has(c), F.struct("at", F.element_at("given", spec.source_of(c)).alias("v")))).alias(f"__tg_{c}") for c in values],
+    )
+    stands = lambda at: at.isNotNull() & (F.col("last_gone").isNull() | (at > F.col("last_gone")))
+    return out.select(
+        *[F.col(k).cast(r.schema[k].dataType).alias(f"__tg_k_{k}") for k in keys], F.col("last_gone").isNotNull().alias("__tg_gone"), stands(F.col("last_put")).alias("__tg_live"),
+        *[F.when(stands(F.col(f"__tg_{c}")["at"]), F.struct(F.col(f"__tg_{c}")["v"].alias("v"))).alias(f"__tg_{c}") for c in values],
     )
-    return out.select(*[F.col(k).cast(r.schema[k].dataType).alias(f"__tg_k_{k}") for k in keys], "__tg_gone", "__tg_live", *[f"__tg_{c}" for c in r.stored if c not in keys])
 
 
 def _any(conditions: list[Column]) -> Column:
