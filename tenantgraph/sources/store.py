@@ -20,11 +20,12 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tenantgraph import telemetry
 from tenantgraph.errors import ConcurrentModification, QueryFailed, UpdateFailed
 from tenantgraph.resource import Resource
 from tenantgraph.sources.scan import decoded
 
-ATTEMPTS, JITTER = 5, 0.1
+ATTEMPTS, JITTER, LEASE = 5, 0.1, 600.0
 _current: contextvars.ContextVar[Transaction | None] = contextvars.ContextVar("tenantgraph_transaction", default=None)
 
 
@@ -75,13 +76,23 @@ class Store:
         out.write(bytearray(json.dumps(manifest).encode()))
         out.close()
         _, lock = self._fs(f"{folder}/.lock-{manifest['version']:012d}")
+        _, name = self._fs(f"{folder}/{manifest['version']:012d}.json")
         if not fs.createNewFile(lock):
             fs.delete(aside, False)
+            if not fs.exists(name):
+                self._break_stale(fs, lock)
             raise ConcurrentModification("concurrent_modification")
-        _, name = self._fs(f"{folder}/{manifest['version']:012d}.json")
         if fs.exists(name) or not fs.rename(aside, name):
             raise ConcurrentModification("concurrent_modification")
 
+    def _break_stale(self, fs: Any, lock: Any) -> None:
+        """A writer that died between lock and rename would stop all later ones; its lock goes, by rename, which one caller can do, after the lease."""
+        try:
+            if time.time() - fs.getFileStatus(lock).getModificationTime() / 1000 > LEASE:
+                fs.rename(lock, self._fs(f"{lock.getParent()}/.stale-{uuid.uuid4().hex}")[1])
+        except Exception:  # noqa: BLE001 - another caller was first
+            return
+
     # Reading
 
     def scan(self, resource: Resource, database: str | None) -> DataFrame:
@@ -126,6 +137,10 @@ class Store:
 
     def write(self, resource: Resource, database: str | None, change: Callable[[DataFrame], DataFrame]) -> None:
         """Replaces a label's rows by change(rows). Outside a transaction the change is tried again on the new state after a conflict."""
+        with telemetry.span("write", resource=resource.label):
+            self._write(resource, database, change)
+
+    def _write(self, resource: Resource, database: str | None, change: Callable[[DataFrame], DataFrame]) -> None:
         if _current.get():
             with self.transaction(database) as tx:
                 tx.staged[resource.label] = change(self.scan(resource, database))
