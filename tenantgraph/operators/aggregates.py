@@ -5,10 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from tenantgraph.errors import UnsupportedAggregate
+from tenantgraph import telemetry
+from tenantgraph.errors import UnsupportedAggregate, redacted
 from tenantgraph.functions.expr import Compiler, Expr
 from tenantgraph.plans.query import Query
 from tenantgraph.resource import Resource
@@ -122,3 +123,7 @@ def aggregate(q: Query, *aggregates: Aggregate) -> DataFrame:
     return df.agg(*[column(a, q) for a in aggregates])
 
 
+def fold(q: Query, *aggregates: Aggregate) -> Row:
+    """The row of aggregate, under a span."""
+    with telemetry.span("aggregate", resource=q.resource.label, kinds=[a.kind for a in aggregates], aggregate_count=len(aggregates)):
+        return redacted(lambda: aggregate(q, *aggregates).first())

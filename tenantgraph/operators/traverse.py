@@ -9,12 +9,13 @@ trails: each carries its edge ids and uses none twice. The depth is a number, so
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Any
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Row, Window
 from pyspark.sql import functions as F
 
-from tenantgraph import tenancy
-from tenantgraph.errors import QueryFailed, UnsupportedAggregate
+from tenantgraph import telemetry, tenancy
+from tenantgraph.errors import QueryFailed, UnsupportedAggregate, redacted
 from tenantgraph.operators.aggregates import Aggregate, check, column
 from tenantgraph.operators.relate import with_defaults
 from tenantgraph.plans.query import Query
@@ -43,9 +44,31 @@ class Traversal:
             raise QueryFailed("invalid_limit")
 
 
-def _edges(t: Traversal, edges: DataFrame, nodes: Query, vertices: DataFrame) -> DataFrame:
-    if nodes.resource.tenancy == "attribute" and t.scope_edges:
-        edges = edges.where(F.col(t.tenant_column) == F.lit(tenancy.normalise(nodes.tenant)))
+Scope = tuple[str, Any] | None
+
+
+def scope_of(q: Query, dest: Query) -> Scope:
+    """(discriminator, tenant) that every node and, unless opted out, every edge of a path carries. Either endpoint may bring
+    it; two different discriminators, or two tenants, can't hold at once and are refused."""
+    scoped = [x for x in (dest, q) if x.resource.tenancy == "attribute"]
+    if len({x.resource.discriminator for x in scoped}) > 1:
+        raise QueryFailed("mixed_discriminator")
+    if len({tenancy.normalise(x.tenant) for x in scoped}) > 1:
+        raise QueryFailed("mixed_tenant")
+    return (scoped[0].resource.discriminator, tenancy.normalise(scoped[0].tenant)) if scoped else None
+
+
+def _vertices(nodes: Query, scope: Scope) -> DataFrame:
+    """(v): keys of the vertices that a path may use. A vertex type without the discriminator carries no tenant, so none of it."""
+    rows = nodes.scoped()
+    if scope and nodes.resource.tenancy != "attribute":
+        rows = rows.where(F.col(f"`{scope[0]}`") == F.lit(scope[1]) if scope[0] in nodes.resource.stored else F.lit(False))
+    return rows.select(F.col(f"`{nodes.resource.pk[0]}`").alias("v"))
+
+
+def _edges(t: Traversal, edges: DataFrame, scope: Scope, vertices: DataFrame) -> DataFrame:
+    if scope and t.scope_edges:
+        edges = edges.where(F.col(t.tenant_column) == F.lit(scope[1]))
     out = edges.select("edge_id", F.col("src").alias("a"), F.col("dst").alias("b"))
     turned = edges.select("edge_id", F.col("dst").alias("a"), F.col("src").alias("b"))
     out = {"outgoing": out, "incoming": turned, "both": out.unionByName(turned).distinct()}[t.direction]
@@ -54,20 +77,21 @@ def _edges(t: Traversal, edges: DataFrame, nodes: Query, vertices: DataFrame) ->
     return out
 
 
-def reach(sources: DataFrame, t: Traversal, edges: DataFrame, nodes: Query) -> DataFrame:
-    """sources (source_id) to distinct (source_id, node_id)."""
+def reach(sources: DataFrame, t: Traversal, edges: DataFrame, nodes: Query, scope: Scope = None, seen: Observation | None = None) -> DataFrame:
+    """sources (source_id) to distinct (source_id, node_id). seen: told how many there were before they were made distinct."""
     if len(nodes.resource.pk) != 1:
         raise QueryFailed("composite_key")
-    vertices = nodes.scoped().select(F.col(f"`{nodes.resource.pk[0]}`").alias("v"))
-    steps = _edges(t, edges, nodes, vertices)
+    vertices = _vertices(nodes, scope)
+    steps = _edges(t, edges, scope, vertices)
     start = sources.select("source_id").distinct().join(vertices, F.col("source_id") == F.col("v"), "left_semi")
     if t.min_depth == 1 and t.direction != "both":
-        level, seen = start.select("source_id", F.col("source_id").alias("node_id")), None
+        level, found = start.select("source_id", F.col("source_id").alias("node_id")), None
         for _ in range(t.max_depth):
             level = level.join(steps, level.node_id == steps.a).select("source_id", F.col("b").alias("node_id")).distinct()
-            seen = level if seen is None else seen.unionByName(level)
-        return seen.distinct()
-    return trails(start, t, steps).select("source_id", "node_id").distinct()
+            found = level if found is None else found.unionByName(level)
+    else:
+        found = trails(start, t, steps).select("source_id", "node_id")
+    return (found.observe(seen, F.count(F.lit(1)).alias("row_count")) if seen else found).distinct()
 
 
 def trails(start: DataFrame, t: Traversal, steps: DataFrame) -> DataFrame:
@@ -83,10 +107,10 @@ def trails(start: DataFrame, t: Traversal, steps: DataFrame) -> DataFrame:
     return out
 
 
-def traverse(q: Query, t: Traversal, edges: DataFrame, dest: Query) -> DataFrame:
+def traverse(q: Query, t: Traversal, edges: DataFrame, dest: Query, seen: Observation | None = None) -> DataFrame:
     """(source_id, destination columns): the caller's filter and sort act on destinations alone, never on the way there."""
     sources = q.to_df().select(F.col(f"`{q.resource.pk[0]}`").alias("source_id"))
-    found = reach(sources, t, edges, Query(dest.resource, dest.source, dest.tenant, dest.actor, strict=dest.strict))
+    found = reach(sources, t, edges, Query(dest.resource, dest.source, dest.tenant, dest.actor, strict=dest.strict), scope_of(q, dest), seen)
     rows = dest.to_df()
     out = found.join(rows, found.node_id == F.col(f"`{dest.resource.pk[0]}`")).drop("node_id")
     if t.limit is not None or t.offset:
@@ -96,6 +120,22 @@ def traverse(q: Query, t: Traversal, edges: DataFrame, dest: Query) -> DataFrame
     return out
 
 
+def delivered(q: Query, t: Traversal, edges: DataFrame, dest: Query) -> list[Row]:
+    """The rows of traverse, under a span: row_count is the fan-out before destinations are made distinct."""
+    with telemetry.span("traverse", resource=dest.resource.label, depth=t.max_depth) as more:
+        seen = Observation()
+        rows = redacted(lambda: traverse(q, t, edges, dest, seen).collect())
+        more |= {"row_count": _observed(seen), "destination_count": len(rows)}
+    return rows
+
+
+def _observed(seen: Observation) -> int:
+    try:
+        return seen.get["row_count"]
+    except Exception:  # noqa: BLE001 - the optimizer proved the paths empty and removed the count with them
+        return 0
+
+
 def traversal_aggregates(q: Query, t: Traversal, edges: DataFrame, dest: Query, *aggregates: Aggregate) -> DataFrame:
     """q's rows with aggregates over what each of them reaches."""
     hidden = dest.resource.policy.hidden(dest.actor) if dest.resource.policy else set()

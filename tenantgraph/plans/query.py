@@ -14,7 +14,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenantgraph import tenancy
+from tenantgraph import telemetry, tenancy
 from tenantgraph.errors import QueryFailed, TenantRequired, UnsortableField, redacted
 from tenantgraph.functions.expr import Compiler, Expr
 from tenantgraph.resource import Resource
@@ -211,7 +211,10 @@ class Query:
         return df.select(*[F.lit(None).cast(kinds[n]).alias(n) if n in hidden else c for n, c in zip([*self.resource.stored, *self.loads], columns, strict=True)])
 
     def collect(self) -> list:
-        return redacted(lambda: self.to_df().collect())
+        with telemetry.span("read", resource=self.resource.label) as more:
+            rows = redacted(lambda: self.to_df().collect())
+            more["row_count"] = len(rows)
+        return rows
 
     def count(self) -> int:
         """The total of all pages."""

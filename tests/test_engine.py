@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
-from tenantgraph import tenancy
+from tenantgraph import telemetry, tenancy
 from tenantgraph.capabilities import REFUSED, SUPPORTED, can
 from tenantgraph.errors import CdcError, ConcurrentModification, GraphError, InvalidResource, NotFilterable, QueryFailed, StaleRecord, TenantRequired, UnsortableField, UnsupportedAggregate, UnsupportedFilter, UpdateFailed
 from tenantgraph.functions.expr import call, ref
 from tenantgraph.operators import writes as W
-from tenantgraph.operators.aggregates import Aggregate, aggregate
+from tenantgraph.operators.aggregates import Aggregate, aggregate, fold
 from tenantgraph.operators.paging import page, stream
 from tenantgraph.operators.relate import related
-from tenantgraph.operators.traverse import Traversal
+from tenantgraph.operators.traverse import Traversal, delivered
 from tenantgraph.operators.vector import knn
 from tenantgraph.plans.query import Query
 from tenantgraph.resource import Attribute as A
@@ -150,6 +152,44 @@ def test_store_and_transactions(spark, rows, tmp_path):
     assert store.scan(r, None).count() == 8
 
 
+def test_a_dead_writers_lock_goes_after_its_lease(spark, rows, tmp_path):
+    r = Resource("doc", tuple(a for a in DOC.attributes if a.name in rows.columns))
+    store, folder = Store(spark, str(tmp_path)), tmp_path / "_default" / "_manifest"
+    store.write(r, None, lambda old: old.unionByName(rows))
+    lock = folder / f".lock-{2:012d}"
+    lock.touch()
+    with pytest.raises(ConcurrentModification):
+        store.write(r, None, lambda old: old.limit(1))
+    assert store.scan(r, None).count() == 8
+    os.utime(lock, (0, 0))
+    store.write(r, None, lambda old: old.limit(1))
+    assert store.scan(r, None).count() == 1 and store.manifest()["version"] == 2
+
+
+def test_traversal_scope_and_spans(spark, rows):
+    plain = Resource("doc", tuple(a for a in DOC.attributes if a.name in rows.columns))
+    owned = Resource("doc", plain.attributes, "attribute", "org")
+    other = Resource("doc", plain.attributes, "attribute", "name")
+    source = MemorySource({(None, "doc"): rows})
+    edges = spark.createDataFrame([(1, 1, 2, "o1"), (2, 2, 3, "o1"), (3, 3, 9, "o1"), (4, 2, 4, None), (5, 1, 3, "o1")], "edge_id long, src long, dst long, tenant string")
+    t, seen = Traversal("KIN", 3), []
+    telemetry.attach(on := lambda event, metadata: seen.append((event, metadata)))
+    try:
+        pairs = {(r.source_id, r.id) for r in delivered(Query(owned, source, "o1"), t, edges, Query(plain, source))}
+        assert pairs == {(1, 2), (1, 3), (2, 3)}  # the source's tenant binds every node and edge of a path
+        assert fold(Query(owned, source, "o1"), Aggregate("n", "count")).n == 7
+    finally:
+        telemetry.detach(on)
+    spans = {event: metadata for event, metadata in seen}
+    assert (spans["traverse"]["row_count"], spans["traverse"]["destination_count"], spans["traverse"]["depth"]) == (4, 3, 3)
+    assert spans["aggregate"]["kinds"] == ["count"] and spans["aggregate"]["outcome"] == "ok"
+    for dest in (Query(other, source, "o1"), Query(owned, source, "o2")):
+        with pytest.raises(QueryFailed):
+            delivered(Query(owned, source, "o1"), t, edges, dest)
+    nameless = Resource("doc", tuple(a for a in plain.attributes if a.name != "org"))
+    assert delivered(Query(owned, source, "o1"), t, edges, Query(nameless, source)) == []
+
+
 MIRROR = Resource("mirror", (A("id", "integer", pk=True), A("org"), A("note"), A("n", "integer")), "attribute", "org")
 
 
