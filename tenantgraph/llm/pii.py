@@ -4,7 +4,8 @@ The base finds plain identifiers. The method then runs a chain of transducers ov
 become ASCII one for one; invisible characters go; runs of spelled digits become digits; disguised "at" and "dot"
 become the signs. Each transducer keeps the list of its edits, so a span of its output maps to the span of its input that
 made it, and through the chain back to the source. Identifiers found in the last output are added where they don't
-overlap one of the same kind that the base has. Texts without a trace of disguise skip the chain.
+overlap one of the same kind that the base has. Every text goes through the chain; a transducer is left out only where the text
+lacks a sign that each of its matches holds, and the last search only where no transducer changed the text.
 
 Offsets are code points of the source text, ends exclusive. Every text is taken whole; there are no groups and no shuffles.
 
@@ -100,9 +101,6 @@ _AROUND_AT = re.compile(rf"@[A-Za-z0-9-]+(?:[ \t]+(?:{_DOT})[ \t]+[A-Za-z0-9-]+|
 _SPACED_AT = re.compile(r"(?<=[A-Za-z0-9])[ \t]*@[ \t]*(?=[A-Za-z0-9-]+[ \t]*\.)")
 _INVISIBLE = re.compile("[­​-‏⁠﻿]")
 _FOREIGN = re.compile("[^\x00-\xac\xae-ɏ]|[ɐ-ʯ]|ı|·")
-_TRACE = re.compile(
-    rf"(?:(?<!\w)(?:{_W})(?!\w){_SEPARATOR}){{3}}(?:{_W})(?!\w)|[\[({{<][ \t]?(?:{_AT}|{_DOT}|[@.])[ \t]?[\])}}>]|[a-z0-9][ \t]+(?:{_AT})[ \t]+[a-z0-9-]+[ \t]+(?:{_DOT})[ \t]|[0-9e-z][ \t]+(?:{_DOT})[ \t]+[0-9a-z]+[ \t]+(?:{_DOT})[ \t]| @|@ "
-)
 
 
 @cache
@@ -156,9 +154,6 @@ def added_spans(text: str, base: list[Span]) -> list[Span]:
         plain = text.translate(ascii_table())
     else:
         plain = text
-    invisible = _INVISIBLE.search(plain)
-    if plain is text and not invisible and not _TRACE.search(text.lower()):
-        return []
     chain: list[Transduced] = []
 
     def step(pattern: re.Pattern, new: str | None) -> None:
@@ -168,15 +163,21 @@ def added_spans(text: str, base: list[Span]) -> list[Span]:
             chain.append(Transduced(plain, edits))
             plain = chain[-1].text
 
-    for pattern, new in (
-        (_INVISIBLE, ""), (_BRACKET_AT, "@"), (_BRACKET_DOT, "."), (_SPELLED, None), (_PLUS, "+"), (_WORD_AT, "@"), (_WORD_DOT_DIGIT, "."),
-    ):
+    step(_INVISIBLE, "")
+    if any(c in plain for c in "[({<"):
+        step(_BRACKET_AT, "@")
+        step(_BRACKET_DOT, ".")
+    for pattern, new in ((_SPELLED, None), (_PLUS, "+"), (_WORD_AT, "@"), (_WORD_DOT_DIGIT, ".")):
         step(pattern, new)
-    edits = [(m.start() + d.start(), m.start() + d.end(), ".") for m in _AROUND_AT.finditer(plain) for d in _WORD_DOT.finditer(m[0])]
-    if edits:
-        chain.append(Transduced(plain, edits))
-        plain = chain[-1].text
-    step(_SPACED_AT, "@")
+    if "@" in plain:
+        if _WORD_DOT.search(plain):  # else none of the matches has one
+            edits = [(m.start() + d.start(), m.start() + d.end(), ".") for m in _AROUND_AT.finditer(plain) for d in _WORD_DOT.finditer(m[0])]
+            if edits:
+                chain.append(Transduced(plain, edits))
+                plain = chain[-1].text
+        step(_SPACED_AT, "@")
+    if plain == text:
+        return []
     out = []
     for start, end, kind in base_spans(plain):
         for made in reversed(chain):

@@ -316,6 +316,45 @@ def test_pii(docs, none):
     assert pii.find_pii(docs).count() == docs.count() and pii.find_pii(none).count() == 0
 
 
+def ungated(text):
+    """Every transducer on the text, and the search after them."""
+    chain, plain = [], text.translate(pii.ascii_table()) if pii._FOREIGN.search(text) else text
+
+    def step(edits):
+        nonlocal plain
+        chain.append(pii.Transduced(plain, edits))
+        plain = chain[-1].text
+
+    for p, new in ((pii._INVISIBLE, ""), (pii._BRACKET_AT, "@"), (pii._BRACKET_DOT, "."), (pii._SPELLED, None), (pii._PLUS, "+"), (pii._WORD_AT, "@"), (pii._WORD_DOT_DIGIT, ".")):
+        step([(*m.span(), pii._digits(m) if new is None else new) for m in p.finditer(plain)])
+    step([(m.start() + d.start(), m.start() + d.end(), ".") for m in pii._AROUND_AT.finditer(plain) for d in pii._WORD_DOT.finditer(m[0])])
+    step([(*m.span(), "@") for m in pii._SPACED_AT.finditer(plain)])
+    out, base = [], pii.base_spans(text)
+    for a, b, kind in pii.base_spans(plain):
+        for made in reversed(chain):
+            a, b = made.back(a, b)
+        if not any(k == kind and x < b and a < y for x, y, k in base + out):
+            out.append((a, b, kind))
+    return out
+
+
+def test_pii_runs_the_chain_on_every_text():
+    for t, kind in (
+        ("write bob@example dot com now", "email"), ("bob\t@\texample.com", "email"), ("call plus 49 30 12345678 today", "phone"), ("ip 192 dot 168.0.1 end", "ip"),
+        ("ip one nine two dot one six eight dot one zero dot two five end", "ip"), ("card four 1 one 1 one 1 one 1 one 1 one 1 one 1 one 1", "card"),
+    ):
+        assert [pii.KINDS[k] for _, _, k in pii.added_spans(t, pii.base_spans(t))] == [kind], t
+    rng = random.Random(8)
+    signs = ["one", "Two", "zero", "sechs", "plus", "at", "dot", "punkt", "arroba", "@", ".", "[", ")", "<", "+49", "7", "192", "168", "bob", "com", "\t", " ", " ", " ", "-", ",", "о", "\u200b", "é", "４"]
+    found = 0
+    for _ in range(20000):
+        t = "".join(rng.choice(signs) + rng.choice(["", " "]) for _ in range(rng.randint(1, 24)))
+        got = pii.added_spans(t, pii.base_spans(t))
+        found += len(got)
+        assert got == ungated(t), t
+    assert found > 50
+
+
 def test_pipeline(spark, docs, tmp_path):
     import corpus_pipeline
 
