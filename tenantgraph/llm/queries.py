@@ -57,7 +57,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    spans = repeated_spans(docs).withColumnRenamed("doc_id", "of")
+    spans = repeated_spans(docs, whole_lines=True).withColumnRenamed("doc_id", "of")
     joined_ = docs.select("doc_id").join(spans, F.col("doc_id").eqNullSafe(F.col("of")), "left")
     listed = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
     total = lambda f: F.coalesce(F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + f(s)), F.lit(0).cast("long"))

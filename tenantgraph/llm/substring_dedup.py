@@ -5,7 +5,8 @@ join until they have five words, since shorter ones recur in any corpus. A passa
 also in the middle of another sentence, from its first longer piece on. Units are normalised (lower case, single spaces) and hashed to
 128 bits. Digests are grouped over the whole corpus; the earliest occurrence (smallest id, then first in the text) stays.
 The others are repeats, and runs of neighbouring repeats with at least `min_words` words in all are removed as spans of
-the source text. Shorter runs stay.
+the source text. With `whole_lines` every repeated line goes, however short; only pieces of lines need such a run. The
+query and drop_repeats ask for that.
 
 The groups are two numbers per digest (count and smallest id), summed where the rows are, so a line that a third of all
 texts hold is one row. Only repeats go on: units meet the repeated digests in a sort-merge join, where adaptive
@@ -32,65 +33,111 @@ _CUT = re.compile(r"\s*\n\s*|(?<=[.!?。！？])\s+|\s+(?=[A-ZÀ-ÖØ-Þ][a-zß-
 _LEAST = 5
 
 
-def units(text: str | None) -> list[tuple[int, int, int, bytes]]:
-    """(start, end, words, digest) of each unit that has a word."""
-    out = []
+def lines(text: str | None) -> list[list[tuple[int, int, int, bytes]]]:
+    """The units of each line that has a word: (start, end, words, digest)."""
+    out: list[list[tuple[int, int, int, bytes]]] = []
+    own: list[tuple[int, int, int, bytes]] = []
     at, began, words = 0, 0, []
     for start, end, hard in [(*m.span(), "\n" in m[0]) for m in _CUT.finditer(text)] + [(len(text), len(text), True)] if text else []:
         if not words:
             began = at
         words += text[at:start].lower().split()
         if words and (hard or len(words) >= _LEAST):
-            out.append((began, start, len(words), xxhash.xxh3_128_digest(" ".join(words).encode())))
+            own.append((began, start, len(words), digest(words)))
             words = []
+        if hard and own:
+            out.append(own)
+            own = []
         at = end
     return out
 
 
-def extract(docs: DataFrame, id_col: str, text_col: str, places: bool) -> DataFrame:
-    """(id, d1, d2, nth) of each unit; nth: how often the text had it before. With places also (k, start, end, words)."""
+def digest(words: list[str], mark: str = "") -> bytes:
+    return xxhash.xxh3_128_digest((mark + " ".join(words)).encode())
+
+
+def units(text: str | None) -> list[tuple[int, int, int, bytes]]:
+    """(start, end, words, digest) of each unit that has a word."""
+    return [u for own in lines(text) for u in own]
+
+
+def extract(docs: DataFrame, id_col: str, text_col: str, places: bool, short: int = 0) -> DataFrame:
+    """(id, d1, d2, nth) of each unit; nth: how often the text had it before. With places also (k, start, end, words, line);
+    line: 1 for a unit that is a whole line, else 0. Lines of several units and under `short` words in all are rows as well, after
+    their units: k is that of their first unit, line the number of their units."""
     read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, 1):
-            rows, nth, found, number = [], [], [], []
+            rows, nth, found, number, whole = [], [], [], [], []
             for i, text in enumerate(texts):
                 seen: dict[bytes, int] = {}
-                own = units(text)
-                found += own
-                rows += [i] * len(own)
-                number += range(len(own))
-                for u in own:
+                k, before = 0, len(found)
+                for own in lines(text):
+                    found += own
+                    number += range(k, k + len(own))
+                    whole += [int(len(own) == 1)] * len(own)
+                    if len(own) > 1 and (n := sum(u[2] for u in own)) < short:
+                        found.append((own[0][0], own[-1][1], n, digest([u[3].hex() for u in own], "\n")))
+                        number.append(k)
+                        whole.append(len(own))
+                    k += len(own)
+                rows += [i] * (len(found) - before)
+                for u in found[before:]:
                     nth.append(n := seen.get(u[3], 0))
                     seen[u[3]] = n + 1
             digests = np.frombuffer(b"".join(u[3] for u in found), np.int64).reshape(-1, 2)
             columns = [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(digests[:, 0]), pa.array(digests[:, 1]), pa.array(nth, pa.int32())]
             if places:
-                columns += [pa.array(x, pa.int32()) for x in (number, *([u[k] for u in found] for k in range(3)))]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "d1", "d2", "nth", "k", "start", "end", "words"][: len(columns)])
-
-    return map_batches(read, run, f"id {read.schema['id'].dataType.simpleString()}, d1 long, d2 long, nth int" + ", k int, start int, `end` int, words int" * places)
+                columns += [pa.array(x, pa.int32()) for x in (number, *([u[k] for u in found] for k in range(3)), whole)]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "d1", "d2", "nth", "k", "start", "end", "words", "line"][: len(columns)])
+
+    return map_batches(read, run, f"id {read.schema['id'].dataType.simpleString()}, d1 long, d2 long, nth int" + ", k int, start int, `end` int, words int, line int" * places)
+
+
+def spans_of(repeats: list[dict], min_words: int, whole_lines: bool) -> list[dict]:
+    """The spans to remove among a document's repeats, sorted by k."""
+    own: dict[int, dict] = {}
+    gone: set[int] = set()
+    for u in repeats:
+        if u["line"] > 1:
+            gone.update(range(u["k"], u["k"] + u["line"]))
+        else:
+            own.setdefault(u["k"], u)
+    runs: list[list[int]] = []
+    for k in own:
+        if runs and runs[-1][-1] == k - 1:
+            runs[-1].append(k)
+        else:
+            runs.append([k])
+    for r in runs:
+        enough = sum(own[k]["words"] for k in r) >= min_words
+        gone.update(k for k in r if enough or whole_lines and own[k]["line"])
+    out: list[dict] = []
+    last = -2
+    for k in sorted(gone & own.keys()):
+        u = own[k]
+        if k == last + 1:
+            out[-1].update(end=u["end"], words=out[-1]["words"] + u["words"])
+        else:
+            out.append({"start": u["start"], "end": u["end"], "words": u["words"]})
+        last = k
+    return out
 
 
-def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = 20) -> DataFrame:
-    """(id, spans): for each document with something to remove, the spans (start, end, words) in order, offsets in code points."""
-    firsts = extract(docs, id_col, text_col, False).groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).where("n > 1").drop("n")
+def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = 20, whole_lines: bool = False) -> DataFrame:
+    """(id, spans): for each document with something to remove, the spans (start, end, words) in order, offsets in code points.
+    With whole_lines, repeated lines go whatever their length, and min_words holds for pieces of lines alone."""
+    short = min_words if whole_lines else 0
+    firsts = extract(docs, id_col, text_col, False, short).groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).where("n > 1").drop("n")
     firsts = stash(firsts, "repeats-digests")
-    found = extract(docs, id_col, text_col, True).join(firsts.hint("merge"), ["d1", "d2"])
+    found = extract(docs, id_col, text_col, True, short).join(firsts.hint("merge"), ["d1", "d2"])
     again = found.where(~(F.col("id").eqNullSafe(F.col("first")) & (F.col("nth") == 0)))
-    listed = again.groupBy("id").agg(F.sort_array(F.collect_set(F.struct("k", "start", "end", "words"))).alias("u"))
+    listed = again.groupBy("id").agg(F.sort_array(F.collect_set(F.struct("k", "start", "end", "words", "line"))).alias("u"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for own in batch.column(1).to_pylist():
-                runs: list[list[int]] = []
-                for u in own:
-                    if runs and runs[-1][3] == u["k"] - 1:
-                        runs[-1][1:] = [u["end"], runs[-1][2] + u["words"], u["k"]]
-                    elif not runs or runs[-1][3] != u["k"]:
-                        runs.append([u["start"], u["end"], u["words"], u["k"]])
-                out.append([{"start": a, "end": b, "words": w} for a, b, w, _ in runs if w >= min_words])
+            out = [spans_of(own, min_words, whole_lines) for own in batch.column(1).to_pylist()]
             spans = pa.array(out, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("words", pa.int64())])))
             yield pa.RecordBatch.from_arrays([batch.column(0), spans], [id_col, "spans"])
 
@@ -98,9 +145,9 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     return listed.mapInArrow(run, f"`{id_col}` {kind}, spans array<struct<start:long,end:long,words:long>>").where(F.size("spans") > 0)
 
 
-def drop_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = 20) -> DataFrame:
+def drop_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = 20, whole_lines: bool = True) -> DataFrame:
     """docs with the spans cut from their texts, and a column removed_spans that keeps their offsets in the original."""
-    spans = repeated_spans(docs, id_col=id_col, text_col=text_col, min_words=min_words).select(F.col(id_col).alias("__tg_id"), F.col("spans").alias("removed_spans"))
+    spans = repeated_spans(docs, id_col=id_col, text_col=text_col, min_words=min_words, whole_lines=whole_lines).select(F.col(id_col).alias("__tg_id"), F.col("spans").alias("removed_spans"))
     joined = docs.join(spans, docs[id_col].eqNullSafe(F.col("__tg_id")), "left").drop("__tg_id")
     text = F.col(text_col)
     starts = F.concat(F.array(F.lit(0).cast("long")), F.transform("removed_spans", lambda s: s["end"]))

@@ -278,6 +278,28 @@ def test_substring_dedup(docs, none):
     assert repeated_spans(none).count() == 0 and out[0].text is None
 
 
+def test_repeated_short_lines_go(spark, tmp_path):
+    rng = random.Random(12)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(n))
+    short = ["hot line", "Sign up for our letter. It comes on every Monday morning. Write to us.", "}"]
+    texts = [f"{prose(30)}\n{short[i % 3]}\n{prose(9)}\n  {short[(i + 1) % 3]}\n{prose(5)}" for i in range(12)]
+    texts += ["Sign up for our letter. And no more words here", "hot line\nhot line", prose(12) + " hot line"]
+    seen, want = set(), {}
+    for i, t in enumerate(texts):
+        want[i] = []
+        for x in t.split("\n"):
+            if x.strip() not in seen:
+                want[i].append(x.strip())
+            seen.add(x.strip())
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    for r in drop_repeats(df).collect():
+        assert [x.strip() for x in r.text.split("\n") if x.strip()] == want[r.doc_id]
+    got = {r.doc_id: r for r in queries.op8_substring_dedup(spark, str(tmp_path)).collect()}
+    for i, t in enumerate(texts):
+        assert got[i].removed_words == len(t.split()) - sum(len(x.split()) for x in want[i])
+
+
 def test_line_dedup(docs, none):
     out = {r.doc_id: r for r in drop_repeated_lines(docs).collect()}
     rows = docs.collect()
