@@ -1,8 +1,10 @@
 """Substring dedup by hashing units of text.
 
-A text is cut into units at line ends, and inside a line after sentence ends and before capitalised words; there, pieces
-join until they have five words, since shorter ones recur in any corpus. A passage so is cut alike wherever it stands,
-also in the middle of another sentence, from its first longer piece on. Units are normalised (lower case, single spaces) and hashed to
+A text is cut into units at line ends, and inside a line where the content says so: each gap between words has a key made
+of its kind (after a sentence end, before a capitalised word, any other) and a hash of the two words after it, and a gap is
+a cut if no gap of its line within four words has a smaller key; that near to a line's ends only sentence ends count. A passage so is cut alike wherever it stands, with or
+without sentences, but for a few words at its ends; units have five words at least, save at line ends and where words repeat.
+Characters of scripts without blanks are words of their own. Units are normalised (lower case, single spaces) and hashed to
 128 bits. Digests are grouped over the whole corpus; the earliest occurrence (smallest id, then first in the text) stays.
 The others are repeats, and runs of neighbouring repeats with at least `min_words` words in all are removed as spans of
 the source text. With `whole_lines` every repeated line goes, however short; only pieces of lines need such a run. The
@@ -29,26 +31,72 @@ from pyspark.sql import functions as F
 
 from tenantgraph.llm.shared import map_batches, slices, stash
 
-_CUT = re.compile(r"\s*\n\s*|(?<=[.!?。！？])\s+|\s+(?=[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ])")
-_LEAST = 5
+#: Scripts written without blanks between words: each character is a word, with the marks and signs after it.
+_JOINED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WORD = re.compile(rf"[{_JOINED}][\u3001-\u3004\u3008-\u3020\uff01-\uff0f\uff1a-\uff20\uff61-\uff65]*|[^\s{_JOINED}]+")
+_ENDS = tuple(".!?。！？．｡।॥؟۔…")
+_REACH = 4
+_NEVER = np.uint64(2**64 - 1)
+
+
+class _Marks(dict):
+    """Of each word a hash, and two bits: starts like a capitalised word, ends a sentence. Bounded."""
+
+    def __missing__(self, word: str) -> int:
+        capital = word[0].isupper() and word[1:2].islower()
+        mark = xxhash.xxh3_64_intdigest(word.lower().encode()) & -4 | capital << 1 | word.endswith(_ENDS)
+        if len(word) <= 32:
+            if len(self) >= 1 << 17:
+                self.clear()
+            self[word] = mark
+        return mark
+
+
+_MARKS = _Marks()
+
+
+def _cuts(words: list[str], firsts: np.ndarray) -> np.ndarray:
+    """The words that start a unit; firsts: those that start a line."""
+    marks = np.fromiter(map(_MARKS.__getitem__, words), np.uint64, len(words))
+    head = np.zeros(len(words), bool)
+    head[firsts] = True
+    after = np.append(marks[1:], np.uint64(0))
+    after[np.append(head[1:], True)] = 0
+    mixed = (marks >> np.uint64(2)) * np.uint64(0x9E3779B97F4A7C15) + (after >> np.uint64(2)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    kind = np.where(marks & np.uint64(2), 1, 2)
+    kind[1:][(marks[:-1] & np.uint64(1)).astype(bool)] = 0
+    key = kind.astype(np.uint64) << np.uint64(62) | mixed >> np.uint64(2)
+    nth, at = np.cumsum(head), np.arange(len(words))
+    ends = np.append(firsts[1:], len(words))[nth - 1]
+    key[head | (kind > 0) & ((at - firsts[nth - 1] <= _REACH) | (ends - at <= _REACH))] = _NEVER
+    place = at + _REACH * nth  # lines stand apart, so that none sees another
+    line = np.full(place[-1] + 1, _NEVER)
+    line[place] = key
+    least = line.copy()
+    for d in range(1, _REACH + 1):
+        np.minimum(least[d:], line[:-d], out=least[d:])
+        np.minimum(least[:-d], line[d:], out=least[:-d])
+    return np.flatnonzero(head | ((key == least[place]) & (key != _NEVER)))
 
 
 def lines(text: str | None) -> list[list[tuple[int, int, int, bytes]]]:
     """The units of each line that has a word: (start, end, words, digest)."""
+    found = list(_WORD.finditer(text)) if text else []
+    if not found:
+        return []
+    places, words = [m.span() for m in found], [m[0] for m in found]
+    breaks = np.fromiter((m.start() for m in re.finditer("\n", text)), np.int64)
+    of = np.searchsorted(breaks, np.fromiter((a for a, _ in places), np.int64, len(places)))
+    firsts = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+    cuts = _cuts(words, firsts).tolist()
+    heads = set(firsts.tolist())
+    h128 = xxhash.xxh3_128_digest
     out: list[list[tuple[int, int, int, bytes]]] = []
-    own: list[tuple[int, int, int, bytes]] = []
-    at, began, words = 0, 0, []
-    for start, end, hard in [(*m.span(), "\n" in m[0]) for m in _CUT.finditer(text)] + [(len(text), len(text), True)] if text else []:
-        if not words:
-            began = at
-        words += text[at:start].lower().split()
-        if words and (hard or len(words) >= _LEAST):
-            own.append((began, start, len(words), digest(words)))
-            words = []
-        if hard and own:
-            out.append(own)
-            own = []
-        at = end
+    for a, b in zip(cuts, [*cuts[1:], len(words)], strict=True):
+        if a in heads:
+            out.append([])
+        out[-1].append((places[a][0], places[b - 1][1], b - a, h128(" ".join(words[a:b]).lower().encode())))
     return out
 
 

@@ -278,6 +278,32 @@ def test_substring_dedup(docs, none):
     assert repeated_spans(none).count() == 0 and out[0].text is None
 
 
+def test_passages_inside_lines_are_found_without_sentence_ends(spark):
+    rng = random.Random(21)
+    small = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    kinds = {
+        "lower case": (small, " "), "capitalised": (lambda: small().capitalize(), " "), "one-word sentences": (lambda: small().upper() + "!", " "),
+        "Hindi": (lambda: "".join(rng.choice("कखगघचछजझ") for _ in range(4)) + rng.choice(["", "", "", "।"]), " "),
+        "Chinese": (lambda: chr(rng.randint(0x4E00, 0x9FA5)) + rng.choice(["", "", "", "。"]), ""), "Cyrillic": (lambda: "".join(rng.choice("абвгдежз") for _ in range(6)), " "),
+        "the same words": (lambda: "no", " "), "two words in turn": (lambda n=iter(range(10**6)): ["ping", "pong"][next(n) % 2], " "),
+    }
+    rows, want = [], {}
+    for word, gap in kinds.values():
+        text = lambda n, w=word, g=gap: g.join(w() for _ in range(n))
+        for _ in range(6):
+            passage, k = text(70), len(rows)
+            around = text if len(set(passage.split())) > 2 else lambda n: " ".join(small() for _ in range(n))
+            for at in (k, k + 1):
+                before = around(rng.randint(3, 30)) + gap
+                rows.append((at, before + passage + gap + around(rng.randint(3, 30))))
+            want[k + 1] = (len(before), len(before) + len(passage))
+    spans = {r.doc_id: r.spans for r in repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (a, b) in want.items():
+        assert i in spans and sum(min(b, s.end) - max(a, s.start) for s in spans[i] if s.start < b and s.end > a) > 0.5 * (b - a), rows[i]
+    alone = [(i, " ".join(small() for _ in range(120))) for i in range(50)]
+    assert repeated_spans(spark.createDataFrame(alone, "doc_id long, text string")).count() == 0
+
+
 def test_repeated_short_lines_go(spark, tmp_path):
     rng = random.Random(12)
     prose = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(n))
