@@ -14,7 +14,7 @@ from tenantgraph.llm.packing import pack
 from tenantgraph.llm.pii import KINDS, find_pii, joined
 from tenantgraph.llm.quality_rules import quality_rules
 from tenantgraph.llm.simhash import simhash_components
-from tenantgraph.llm.substring_dedup import repeated_spans
+from tenantgraph.llm.substring_dedup import _WEIGHTS, BLANKS, JOINED, repeated_spans
 from tenantgraph.llm.token_scan import token_counts
 from tenantgraph.llm.topk_search import exact_topk
 
@@ -56,12 +56,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    spans = repeated_spans(docs, whole_lines=True).withColumnRenamed("doc_id", "of")
-    joined_ = docs.select("doc_id").join(spans, F.col("doc_id").eqNullSafe(F.col("of")), "left")
+    found = repeated_spans(table(spark, sf_dir, "documents"), inside=24)
     listed = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
-    total = lambda f: F.coalesce(F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + f(s)), F.lit(0).cast("long"))
-    return joined_.select("doc_id", F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_spans"), total(lambda s: s["end"] - s["start"]).alias("removed_chars"), total(lambda s: s["words"]).alias("removed_words"), F.coalesce(listed, F.lit("")).alias("spans"))
+    total = lambda f: F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + f(s))
+    return found.select("doc_id", F.size("spans").cast("long").alias("n_spans"), total(lambda s: s["end"] - s["start"]).alias("removed_chars"), total(lambda s: s["words"]).alias("removed_words"), listed.alias("spans"))
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,7 +139,27 @@ a AS (SELECT r, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, string
 SELECT page_id, host, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, CASE WHEN lines IS NOT NULL THEN md5(coalesce(kept, '')) END AS kept_md5 FROM p LEFT JOIN a USING (r)
 """
 
+def _class(chars: str) -> str:
+    """Characters as a class of DuckDB's patterns."""
+    return "".join(c if c == "-" else f"\\x{{{ord(c):x}}}" for c in chars)
+
+
+_KEY = " + ".join(f"CASE WHEN length(w) > {i} THEN unicode(substr(w, {i + 1}, 1)) * {x} ELSE 0 END" for i, x in enumerate(_WEIGHTS))
+_REPEATS = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[{_class(JOINED)}]|[^{_class(BLANKS + JOINED)}]+|[{_class(BLANKS)}]') AS t FROM documents),
+p AS (SELECT r, i, w, sum(length(w)) OVER (PARTITION BY r ORDER BY i) AS e, sum((w = chr(10))::INT) OVER (PARTITION BY r ORDER BY i) AS ln FROM (SELECT r, unnest(t) AS w, unnest(range(len(t))) AS i FROM d)),
+w AS (SELECT *, {_KEY} AS key, count(*) OVER (PARTITION BY r, ln) AS held FROM p WHERE NOT regexp_matches(w, '^[{_class(BLANKS)}]$')),
+c AS (SELECT *, row_number() OVER l = 1 OR held >= 24 AND (37 * key + coalesce(lead(key) OVER l, 0)) % 1009 < 126 AS cut FROM w WINDOW l AS (PARTITION BY r, ln ORDER BY i)),
+u AS (SELECT r, k, min(e - length(w)) AS a, max(e) AS b, count(*) AS words, max(held) < 24 AS line, string_agg(w, ' ' ORDER BY i) AS txt FROM (SELECT *, sum(cut::INT) OVER (PARTITION BY r ORDER BY i) AS k FROM c) GROUP BY r, k),
+n AS (SELECT r, k, a, b, words, line, row_number() OVER (PARTITION BY txt ORDER BY doc_id NULLS LAST, r, k) AS nth FROM u JOIN d USING (r)),
+g AS (SELECT *, k - row_number() OVER (PARTITION BY r ORDER BY k) AS g FROM n WHERE nth > 1),
+s AS (SELECT *, k - row_number() OVER (PARTITION BY r ORDER BY k) AS h FROM (SELECT *, sum(words) OVER (PARTITION BY r, g) AS run FROM g) WHERE line OR run >= 20),
+o AS (SELECT r, min(a) AS a, max(b) AS b, sum(words) AS words FROM s GROUP BY r, h),
+j AS (SELECT r, count(*) AS n, sum(b - a) AS chars, sum(words) AS words, string_agg(a || ':' || b, ',' ORDER BY a) AS spans FROM o GROUP BY r)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_spans, coalesce(chars, 0)::BIGINT AS removed_chars, coalesce(words, 0)::BIGINT AS removed_words, coalesce(spans, '') AS spans FROM d LEFT JOIN j USING (r)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """Tokens, XXH64, components, transducers and SHA-256 over control strings are beyond SQL; tests hold those against brute force."""
-    return {"op1_quality_rules": _PARTS, "op3_exact_topk": _TOPK, "op7_mixing": _MIX, "op9_line_dedup": _LINES}
+    return {"op1_quality_rules": _PARTS, "op3_exact_topk": _TOPK, "op7_mixing": _MIX, "op8_substring_dedup": _REPEATS, "op9_line_dedup": _LINES}

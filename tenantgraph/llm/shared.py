@@ -1,10 +1,12 @@
-"""What the operators share: the shared folder, words, and batches cut by bytes."""
+"""What the operators share: the shared folder, tables written to it and their removal, words, and batches cut by bytes."""
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections import defaultdict
+from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -15,32 +17,77 @@ from pyspark.sql import functions as F
 #: ``bytes.split()`` without arguments cuts UTF-8 texts at exactly these six bytes.
 WORD = r"[^\x20\x09-\x0D]+"
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_DEFAULT_BATCH, _OUR_BATCH = "67108864b", str(4 << 20)
+_own_folders: dict[str, str] = {}
+_written: dict[str, list[str]] = defaultdict(list)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset a folder of our own."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a local master gets a temporary
+    folder, and any other an error: its executors couldn't read one of the driver's."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = tempfile.mkdtemp(prefix="tenantgraph-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
+    if named:
+        return named.rstrip("/")
+    context = spark.sparkContext
+    if context.master != "local" and not context.master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+    if context.applicationId not in _own_folders:
+        _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="tenantgraph-")
+    return _own_folders[context.applicationId]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written[spark.sparkContext.applicationId].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, Spark hands rows to Python in record batches of 4 MB: a batch lies in the executor's and the Python
+    worker's memory several times over. A size that the session has set itself stays; afterwards the session is as it was."""
+    if spark.conf.get(BATCH_BYTES) != _DEFAULT_BATCH:
+        yield
+        return
+    spark.conf.set(BATCH_BYTES, _OUR_BATCH)
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH_BYTES)
 
 
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write a table to the shared folder and read it back. Lost executors cost nothing after that."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def discard(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    with contextlib.suppress(ValueError):
+        _written[spark.sparkContext.applicationId].remove(path)
+
+
+def mark(spark: SparkSession) -> int:
+    """A place in the list of written tables, for release()."""
+    return len(_written[spark.sparkContext.applicationId])
+
+
+def release(spark: SparkSession, since: int = 0, but: int = 0) -> None:
+    """Deletes the tables written since a mark, but the last `but`. A result is lazy and reads its operator's tables, so call
+    this when the result has been written or collected."""
+    paths = _written[spark.sparkContext.applicationId][since:]
+    for path in paths[: len(paths) - but]:
+        discard(spark, path)
+
+
+def named(name: str) -> Column:
+    """A column by its whole name, dots included."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def checked(df: DataFrame, rows: int = 100_000) -> DataFrame:
@@ -53,13 +100,10 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow over batches of a few megabytes. A batch lies in the executor's and the Python worker's memory several
-    times over, beside the operator's own; a size that the session has set itself stays."""
-    spark = df.sparkSession
-    if spark.conf.get(BATCH_BYTES) == "67108864b":  # Spark's default
-        spark.conf.set(BATCH_BYTES, str(4 << 20))
-    return df.mapInArrow(run, schema)
+def quoted(schema: DataFrame | list) -> str:
+    """Fields as a schema string, for mapInArrow."""
+    fields = schema.schema if isinstance(schema, DataFrame) else schema
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in fields)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: int, max_bytes: int = 2 << 20) -> Iterator[tuple[pa.RecordBatch, list]]:

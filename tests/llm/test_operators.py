@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -19,7 +20,7 @@ from tenantgraph.llm.line_dedup import drop_repeated_lines
 from tenantgraph.llm.mixing import mix_sources, mixed
 from tenantgraph.llm.quality_rules import measure, quality_rules
 from tenantgraph.llm.shared import WORD
-from tenantgraph.llm.substring_dedup import drop_repeats, repeated_spans, units
+from tenantgraph.llm.substring_dedup import batch_units, drop_repeats, repeated_spans
 from tenantgraph.llm.tokens import token_bytes
 from tenantgraph.llm.topk_search import exact_topk
 
@@ -251,31 +252,88 @@ def test_mixing(docs, none):
     assert mixed(docs).columns == docs.columns and max(copies.values()) <= 3
 
 
-def test_substring_dedup(docs, none):
-    text = {r.doc_id: r.text for r in docs.where("doc_id is not null").collect()}
-    first, count = {}, Counter()
-    for i in sorted(text):
-        for k, u in enumerate(units(text[i])):
-            first.setdefault(u[3], (i, k))
-            count[u[3]] += 1
-    want = {}
-    for i, t in text.items():
-        runs = []
-        for k, (a, b, n, d) in enumerate(units(t)):
-            if first[d] != (i, k) and count[d] > 1:
-                if runs and runs[-1][3] == k - 1:
-                    runs[-1] = [runs[-1][0], b, runs[-1][2] + n, k]
-                else:
-                    runs.append([a, b, n, k])
-        if own := [(a, b, n) for a, b, n, _ in runs if n >= 20]:
-            want[i] = own
-    spans = {r.doc_id: [tuple(s) for s in r.spans] for r in repeated_spans(docs.where("doc_id is not null").dropDuplicates(["doc_id"])).collect()}
-    assert spans == want and len(want) >= 3
-    out = {r.doc_id: r for r in drop_repeats(docs).collect()}
-    for i, own in want.items():
-        left = "".join(text[i][a:b] for a, b in zip([0, *(s[1] for s in own)], [*(s[0] for s in own), len(text[i])], strict=True))
-        assert out[i].text == left
-    assert repeated_spans(none).count() == 0 and out[0].text is None
+BLANK = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
+
+def brute_units(text, inside):
+    """(start, end, words, is a line, normalised) of each unit."""
+    out, at = [], 0
+    for line in (text or "").split("\n"):
+        w = [(at + m.start(), m[0].lower()) for m in re.finditer(rf"[\u4e00-\u9fff]|(?:(?!{BLANK}|[\u4e00-\u9fff]).)+", line, re.S)]
+        keys = [sum(ord(c) * x for c, x in zip(x, (7, 131, 17, 211, 83, 401, 53, 307))) for _, x in w]
+        own = []
+        for i, (a, x) in enumerate(w):
+            if i == 0 or inside and len(w) >= inside and (37 * keys[i] + (keys[i + 1] if i + 1 < len(w) else 0)) % 1009 < 126:
+                own.append([a, a, 0, not inside or len(w) < inside, ""])
+            own[-1][1:3], own[-1][4] = (a + len(x), own[-1][2] + 1), own[-1][4] + " " + x
+        out += own
+        at += len(line) + 1
+    return out
+
+
+def brute_repeats(rows, inside, min_run=20):
+    """What each of the rows (id, text) loses; ids differ."""
+    seen, out = set(), {}
+    for i, t in sorted(rows, key=lambda r: (r[0] is None, r[0])):
+        runs, last = [], None
+        for k, u in enumerate(brute_units(t, inside)):
+            if u[4] in seen:
+                if last != k - 1:
+                    runs.append([])
+                runs[-1].append(u)
+                last = k
+            seen.add(u[4])
+        spans = []
+        for run in runs:
+            before = False
+            for u in run:
+                goes = u[3] or sum(x[2] for x in run) >= min_run
+                if goes and before:
+                    spans[-1] = (spans[-1][0], u[1], spans[-1][2] + u[2])
+                elif goes:
+                    spans.append((u[0], u[1], u[2]))
+                before = goes
+        out[i] = spans
+    return out
+
+
+def cut_out(text, spans):
+    return "".join(text[a:b] for a, b in zip([0, *(s[1] for s in spans)], [*(s[0] for s in spans), len(text)], strict=True))
+
+
+@pytest.mark.parametrize("inside", [0, 24])
+def test_substring_dedup(spark, docs, none, inside):
+    rows = [(r.doc_id, r.text) for r in docs.dropDuplicates(["doc_id"]).collect()]
+    rows += [(100, rows[0][1]), (101, "Hot  LINE\n\tother\nhot line"), (102, "一二三四" * 9 + "\n" + "一二三四" * 9), (103, "a\u3000b\na b"), (104, LONG + "\n" + LONG)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in repeated_spans(df, inside=inside).collect()}
+    want = brute_repeats(rows, inside)
+    assert got == want and sum(map(bool, want.values())) > 12
+    out = {r.doc_id: r for r in drop_repeats(df.withColumn("removed_spans", F.lit("mine")).withColumn("a.b", F.lit(1)), inside=inside).collect()}
+    for i, t in rows:
+        assert out[i].text == (t and cut_out(t, want[i])) and [tuple(s) for s in out[i].removed_spans_] == want[i] and (out[i].removed_spans, out[i]["a.b"]) == ("mine", 1)
+    assert repeated_spans(none).count() == drop_repeats(none).count() == 0 and drop_repeats(docs).columns == [*docs.columns, "removed_spans"]
+
+
+def test_substring_dedup_goes_by_rows_not_ids(spark):
+    """Rows that share an id, or have none, and repeated rows: each line stays once, and a line that no other row has stays whole."""
+    p, u = "this line is here twice", "only one row says this"
+    rows = [(1, p), (7, p), (7, u), (None, p), (None, "another\nand more"), (None, p), (3, u + "!"), (3, u + "!"), (None, None), (7, "")]
+    for parts_ in (1, 3):
+        out = drop_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts_)).collect()
+        assert Counter(x for r in out for x in (r.text or "").split("\n") if x) == Counter([p, u, u + "!", "another", "and more"])
+        assert {r.doc_id for r in out if r.text == p} == {1} and len(out) == len(rows)
+    strings = spark.createDataFrame([("b", p), ("a", p), (None, p)], "doc_id string, text string")
+    assert {r.doc_id: r.text for r in drop_repeats(strings).collect()} == {"a": p, "b": "", None: ""}
+
+
+def test_substring_dedup_of_long_runs_of_blanks(spark):
+    began = time.time()
+    for blank in " \t\n\u3000":
+        assert len(batch_units(["x" + blank * 400_000 + "y"], 24)["k"]) == 1 + (blank == "\n")
+    big = ("word " * 30 + "\n") * 20_000 + "tail " * 700_000
+    units = batch_units(["first", big, "last"], 24)
+    assert [tuple(u) for u in brute_units(big[:3000], 24)[:20]][0][:2] == (units["start"][1], units["end"][1]) and units["doc"][-1] == 2 and time.time() - began < 30
 
 
 def test_passages_inside_lines_are_found_without_sentence_ends(spark):
@@ -285,45 +343,21 @@ def test_passages_inside_lines_are_found_without_sentence_ends(spark):
         "lower case": (small, " "), "capitalised": (lambda: small().capitalize(), " "), "one-word sentences": (lambda: small().upper() + "!", " "),
         "Hindi": (lambda: "".join(rng.choice("कखगघचछजझ") for _ in range(4)) + rng.choice(["", "", "", "।"]), " "),
         "Chinese": (lambda: chr(rng.randint(0x4E00, 0x9FA5)) + rng.choice(["", "", "", "。"]), ""), "Cyrillic": (lambda: "".join(rng.choice("абвгдежз") for _ in range(6)), " "),
-        "the same words": (lambda: "no", " "), "two words in turn": (lambda n=iter(range(10**6)): ["ping", "pong"][next(n) % 2], " "),
     }
     rows, want = [], {}
     for word, gap in kinds.values():
         text = lambda n, w=word, g=gap: g.join(w() for _ in range(n))
         for _ in range(6):
-            passage, k = text(70), len(rows)
-            around = text if len(set(passage.split())) > 2 else lambda n: " ".join(small() for _ in range(n))
+            passage, k = text(90), len(rows)
             for at in (k, k + 1):
-                before = around(rng.randint(3, 30)) + gap
-                rows.append((at, before + passage + gap + around(rng.randint(3, 30))))
+                before = text(rng.randint(3, 30)) + gap
+                rows.append((at, before + passage + gap + text(rng.randint(3, 30))))
             want[k + 1] = (len(before), len(before) + len(passage))
-    spans = {r.doc_id: r.spans for r in repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    spans = {r.doc_id: r.spans for r in repeated_spans(spark.createDataFrame(rows, "doc_id long, text string"), inside=24).collect()}
     for i, (a, b) in want.items():
-        assert i in spans and sum(min(b, s.end) - max(a, s.start) for s in spans[i] if s.start < b and s.end > a) > 0.5 * (b - a), rows[i]
+        assert sum(min(b, s.end) - max(a, s.start) for s in spans[i] if s.start < b and s.end > a) > 0.5 * (b - a), rows[i]
     alone = [(i, " ".join(small() for _ in range(120))) for i in range(50)]
-    assert repeated_spans(spark.createDataFrame(alone, "doc_id long, text string")).count() == 0
-
-
-def test_repeated_short_lines_go(spark, tmp_path):
-    rng = random.Random(12)
-    prose = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(n))
-    short = ["hot line", "Sign up for our letter. It comes on every Monday morning. Write to us.", "}"]
-    texts = [f"{prose(30)}\n{short[i % 3]}\n{prose(9)}\n  {short[(i + 1) % 3]}\n{prose(5)}" for i in range(12)]
-    texts += ["Sign up for our letter. And no more words here", "hot line\nhot line", prose(12) + " hot line"]
-    seen, want = set(), {}
-    for i, t in enumerate(texts):
-        want[i] = []
-        for x in t.split("\n"):
-            if x.strip() not in seen:
-                want[i].append(x.strip())
-            seen.add(x.strip())
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    df.write.parquet(str(tmp_path / "documents.parquet"))
-    for r in drop_repeats(df).collect():
-        assert [x.strip() for x in r.text.split("\n") if x.strip()] == want[r.doc_id]
-    got = {r.doc_id: r for r in queries.op8_substring_dedup(spark, str(tmp_path)).collect()}
-    for i, t in enumerate(texts):
-        assert got[i].removed_words == len(t.split()) - sum(len(x.split()) for x in want[i])
+    assert not any(r.spans for r in repeated_spans(spark.createDataFrame(alone, "doc_id long, text string"), inside=24).collect())
 
 
 def test_line_dedup(docs, none):
