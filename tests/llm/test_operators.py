@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import time
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tenantgraph.llm import packing, pii, queries, simhash, token_scan
+from tenantgraph.llm import packing, pii, queries, simhash, token_scan, topk_search
 from tenantgraph.llm.chat_template import Escaper, Template, TemplateError, formatter
 from tenantgraph.llm.line_dedup import drop_repeated_lines
 from tenantgraph.llm.mixing import mix_sources, mixed
@@ -121,17 +123,63 @@ def test_tokens_are_those_of_the_tokenizer():
         assert np.frombuffer(encode(t), "<u4").tolist() == encode.exact.encode(t, add_special_tokens=False).ids
 
 
-def test_exact_topk(spark):
+def brute_topk(rows, k=10):
+    """rows (id, vector): each query's k best, by Python integers."""
+    whole = {}
+    for n, (i, v) in enumerate(rows):
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
+            whole[n] = (i, [math.floor(Fraction(x) * 1024) for x in v])
+    out = {}
+    for q, v in sorted((x for x in whole.values() if x[0] % 100 == 0), reverse=True):
+        out[q] = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in whole.values() if i != q)[:k]
+    return out
+
+
+def check_topk(spark, rows, kind="double", **more):
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>").withColumn("score", F.lit("x")).withColumn("a.b", F.lit(1)).repartition(3)
+    got = defaultdict(list)
+    for r in sorted(exact_topk(df, is_query=F.col("vec_id") % 100 == 0, **more).collect(), key=lambda r: (r.query_id, r["rank"])):
+        got[r.query_id].append((-r.score, r.vec_id))
+        assert r["rank"] == len(got[r.query_id])
+    want = {q: [(max(min(s, 2**63), 1 - 2**63), i) for s, i in x] for q, x in brute_topk(rows).items() if x}
+    assert got == want
+
+
+@pytest.mark.parametrize("more", [{}, {"cell_rows": 20, "block_rows": 2, "n_pivots": 4, "sample_rows": 12}, {"n_pivots": 1}])
+def test_exact_topk(spark, more):
     rng = np.random.default_rng(2)
-    v = rng.normal(size=(260, 8)).round(1)
-    rows = [(i, [float(x) for x in v[i]]) for i in range(260)] + [(300, None), (301, [1.0, None] + [0.0] * 6), (302, [float("nan")] * 8), (None, [1.0] * 8), (7, [float(x) for x in v[7]])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit("x"))
-    e = np.floor(1024 * v.astype(np.float32).astype(float))
-    got = exact_topk(df, is_query=F.col("vec_id") % 100 == 0, cell_rows=50, block_rows=2, n_pivots=4).collect()
-    for q in (0, 100, 200):
-        want = sorted([(-int(e[q] @ e[i]), i) for i in range(260) if i != q] + [(-int(e[q] @ e[7]), 7)])[:10]
-        assert [(-r.score, r.vec_id) for r in sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])] == want
-    assert len(got) == 30 and exact_topk(df.limit(0), is_query=F.lit(True)).count() == 0
+    v = [[float(x) for x in r] for r in rng.normal(size=(260, 8)).round(1).astype(np.float32)]
+    rows = list(enumerate(v)) + [(300, None), (301, [1.0, None] + [0.0] * 6), (302, [float("nan")] * 8), (303, [float("inf")] * 8), (None, [1.0] * 8), (7, v[7]), (400, []), (500, [1.0, 2.0])]
+    rows += [(100, [9.0] * 8), (100, v[100])] + [(600 + i, v[3]) for i in range(40)]
+    check_topk(spark, rows, "float", **more)
+
+
+@pytest.mark.parametrize("size", [1e5, 5e5, 2e6, 1e9, 1e15, 1e40, 1.5e308])
+def test_exact_topk_of_large_components(spark, size):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.uniform(-1, 1, 64) * size]) for i in range(90)] + [(100, [size, 1.0] * 32), (101, [size, 1.0009765625] * 32), (102, [size, 1.0] * 32)]
+    check_topk(spark, rows, cell_rows=16, n_pivots=5, sample_rows=20)
+
+
+def test_exact_topk_without_queries_or_candidates(spark):
+    for rows in ([(1, [1.0]), (2, [2.0])], [(100, [1.0])], [(100, [1.0]), (100, [2.0])], [(0, None)], []):
+        check_topk(spark, rows)
+    check_topk(spark, [(i, [0.5, 0.5]) for i in range(0, 900, 50)])  # ties everywhere
+
+
+def test_search_passes_over_cells_and_candidates():
+    """Near each other, vectors are found without a look at the far ones."""
+    rng = np.random.default_rng(4)
+    centers = rng.normal(size=(20, 16)) * 50
+    x = np.repeat(centers, 100, axis=0) + rng.normal(size=(2000, 16)) * 0.1
+    ids = np.arange(2000)
+    pivots = topk_search.spread(topk_search.integers(x[::7]).astype(float), 20)
+    block = topk_search.Block(topk_search.Side(x[::100], ids[::100], pivots), 10, float((pivots * pivots).sum(axis=1).max()))
+    block.search(topk_search.Side(x[::7], ids[::7], pivots))
+    block.evaluated = 0
+    for a in range(0, 2000, 100):
+        block.search(topk_search.Side(x[a : a + 100], ids[a : a + 100], pivots))
+    assert block.evaluated < 0.3 * 20 * 2000
 
 
 def test_templates():
