@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tenantgraph.llm.shared import named, quoted, slices, stash
+from tenantgraph.llm.shared import lowered, named, quoted, slices, stash
 
 #: Blanks, and scripts written without them: each of their characters is a word.
 BLANKS = "\x09-\x0d\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -47,12 +47,6 @@ _PART = 1 << 17  # characters looked at together: arrays that stay in a core's c
 SPANS = "array<struct<start:long,end:long,words:long>>"
 
 
-def lowered(text: str) -> str:
-    """Lower case, character by character where a character has a longer one: offsets stay."""
-    low = text.lower()
-    return low if len(low) == len(text) else "".join(x if len(x := c.lower()) == 1 else c for c in text)
-
-
 def units_of(low: str, inside: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
     """(start, end, words, whether it is a line, digest) of each unit of a lower-case text."""
     cp = np.frombuffer((low + "\0" * len(_WEIGHTS)).encode("utf-32-le", "surrogatepass"), "<u4")

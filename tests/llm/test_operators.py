@@ -294,10 +294,35 @@ def test_mixing(docs, none):
     assert sum(target.values()) == pytest.approx(sum(sizes.values()))
     for s in sizes:
         assert target[s] <= 3 * sizes[s] + 1e-6 and abs(taken[s] - target[s]) <= largest[s]
-    again = {(r.doc_id, r.taken) for r in mix_sources(docs.repartition(3)).collect()}
-    assert again == {(r.doc_id, r.taken) for r in got}
-    copies = Counter(r.doc_id for r in mixed(docs.where("doc_id is not null").dropDuplicates(["doc_id"])).collect())
-    assert mixed(docs).columns == docs.columns and max(copies.values()) <= 3
+    again = Counter((r.doc_id, r.taken) for r in mix_sources(docs.repartition(3)).collect())
+    assert again == Counter((r.doc_id, r.taken) for r in got)
+    want = Counter({r.doc_id: 0 for r in rows}) + Counter()
+    for r in got:
+        want[r.doc_id] += r.taken // r["size"] if r["size"] else 0
+    worded = {r.doc_id for r in got if r["size"]}
+    copies = Counter(r.doc_id for r in mixed(docs.withColumn("a.b", F.lit(1))).collect() if r.doc_id in worded)
+    assert +copies == +want and mixed(docs).columns == docs.columns and mixed(none).count() == 0
+
+
+def test_mixing_of_rows_that_share_ids(spark):
+    """Targets hold to within a document where rows have no id, share one, or are equal."""
+    rows = [(None, "w " * 4 + str(i % 25), "a") for i in range(50)] + [(7, "w " * 4 + str(i), "b") for i in range(50)] + [(8, "same text of five words", "c") for _ in range(50)] + [(9, None, None), (10, "", "d")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = mix_sources(df).collect()
+    total, target = Counter(), {}
+    for r in got:
+        total[r.target] += r.taken
+    assert len(got) == len(rows) and all(abs(t - n) <= 5 for t, n in total.items()) and sum(total.values()) == pytest.approx(750, abs=15)
+    assert Counter((r.doc_id, r.taken) for r in mix_sources(df.repartition(2)).collect()) == Counter((r.doc_id, r.taken) for r in got)
+    assert Counter(r.source for r in mixed(df).collect() if r.text)["c"] == sum(r.taken for r in got if r.doc_id == 8) // 5
+
+
+def test_mixing_by_a_column_of_weights(spark):
+    rows = [(i, "four words in all", f"s{i % 3}", 100.0 if i < 300 else [None, 0.0, -1.0, 0.01][i % 4]) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, good double")
+    got = {r.doc_id: r.taken for r in mix_sources(df, quality=F.col("good"), weights=(1, 1, 4)).collect()}
+    heavy, light = (sum(got[i] for i in range(900) if i % 3 < 2 and (i < 300) == side) / (200 if side else 400) for side in (True, False))
+    assert heavy > 1.9 * light
 
 
 BLANK = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
@@ -415,10 +440,11 @@ def test_line_dedup(docs, none):
     for r in rows:
         held.update({(r.source, x.strip(" ")) for x in (r.text or "").split("\n") if x.strip(" ")})
     for r in rows:
-        gone = lambda x, s=r.source: held[s, x.strip(" ")] >= 5 and held[s, x.strip(" ")] > 0.1 * pages[s]
+        gone = lambda x, s=r.source: held[s, x.strip(" ")] >= 2 and held[s, x.strip(" ")] > 0.1 * pages[s]
         want = None if r.text is None else "\n".join(x for x in r.text.split("\n") if not gone(x))
         assert out[r.doc_id].text == want
     assert drop_repeated_lines(none).count() == 0 and drop_repeated_lines(docs).columns == docs.columns
+    assert drop_repeated_lines(docs.withColumn("a.b", F.lit(1)).withColumn("lines", F.lit("x"))).columns == [*docs.columns, "a.b", "lines"]
 
 
 def brute_spans(t):
@@ -431,58 +457,86 @@ def brute_spans(t):
     return sorted(out, key=lambda s: (s[0], s[2]))
 
 
-def test_pii(docs, none):
+@pytest.fixture(scope="module")
+def pii_rows(spark, docs):
+    more = [(200, "Mail bob@example.com or b[at]c[dot]de"), (200, "+1 212 555 0100"), (None, "10.0.0.1"), (None, "10.0.0.1"), (201, "x " * 300_000 + "a@b.cd " + "y " * 300_000)]
+    return docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string")).withColumns({"base": F.lit(1), "spans": F.lit("s"), "a.b": F.lit(2)})
+
+
+def test_pii_of_tables(pii_rows, none):
+    want = Counter()
+    for r in pii_rows.collect():
+        base = brute_spans(r.text or "")
+        want[r.doc_id, str([(a, b, pii.KINDS[k]) for a, b, k in base]), str([(a, b, pii.KINDS[k]) for a, b, k in sorted([*base, *pii.added_spans(r.text or "", base)], key=lambda s: (s[0], s[2]))])] += 1
+    got = Counter((r.doc_id, str([tuple(s) for s in r.base]), str([tuple(s) for s in r.spans])) for r in pii.find_pii(pii_rows).collect())
+    assert got == want and pii.find_pii(none).count() == 0
+
+
+def test_pii_base():
     rng = random.Random(2)
-    for _ in range(8000):
-        t = "".join(rng.choice("a1@. +-(5040") for _ in range(rng.randint(1, 45)))
+    for k in range(8000):
+        t = "".join(rng.choice("a1@. +-(5040") for _ in range(rng.randint(1, 45 if k % 20 else 900)))
         assert brute_spans(t) == pii.base_spans(t)
-    for t, kind in (
-        ("mail john (at) example [dot] com now", "email"), ("x bob@exаmple.com", "email"), ("a​b@c​.de", "email"), ("plus one four one five five five five two six seven one", "phone"),
-        ("card " + " ".join(["four"] + ["one"] * 15), "card"), ("ip one nine two dot one six eight dot one dot one end", "ip"), ("john dot doe at mail dot example dot org", "email"),
-    ):
-        assert [pii.KINDS[k] for _, _, k in pii.added_spans(t, pii.base_spans(t))] == [kind]
-    a, b, _ = pii.added_spans("mail john (at) example [dot] com now", [])[0]
-    assert "mail john (at) example [dot] com now"[a:b] == "john (at) example [dot] com"
-    assert pii.find_pii(docs).count() == docs.count() and pii.find_pii(none).count() == 0
-
-
-def ungated(text):
-    """Every transducer on the text, and the search after them."""
-    chain, plain = [], text.translate(pii.ascii_table()) if pii._FOREIGN.search(text) else text
-
-    def step(edits):
-        nonlocal plain
-        chain.append(pii.Transduced(plain, edits))
-        plain = chain[-1].text
-
-    for p, new in ((pii._INVISIBLE, ""), (pii._BRACKET_AT, "@"), (pii._BRACKET_DOT, "."), (pii._SPELLED, None), (pii._PLUS, "+"), (pii._WORD_AT, "@"), (pii._WORD_DOT_DIGIT, ".")):
-        step([(*m.span(), pii._digits(m) if new is None else new) for m in p.finditer(plain)])
-    step([(m.start() + d.start(), m.start() + d.end(), ".") for m in pii._AROUND_AT.finditer(plain) for d in pii._WORD_DOT.finditer(m[0])])
-    step([(*m.span(), "@") for m in pii._SPACED_AT.finditer(plain)])
-    out, base = [], pii.base_spans(text)
-    for a, b, kind in pii.base_spans(plain):
-        for made in reversed(chain):
-            a, b = made.back(a, b)
-        if not any(k == kind and x < b and a < y for x, y, k in base + out):
-            out.append((a, b, kind))
-    return out
 
 
-def test_pii_runs_the_chain_on_every_text():
-    for t, kind in (
-        ("write bob@example dot com now", "email"), ("bob\t@\texample.com", "email"), ("call plus 49 30 12345678 today", "phone"), ("ip 192 dot 168.0.1 end", "ip"),
-        ("ip one nine two dot one six eight dot one zero dot two five end", "ip"), ("card four 1 one 1 one 1 one 1 one 1 one 1 one 1 one 1", "card"),
+#: Disguised identifiers, each with its kind; what surrounds them is prose.
+DISGUISED = {
+    "email": [
+        "john (at) example [dot] com", "john [at] example.com", "john{at}example{dot}com", "john<at>example<dot>com", "john at example dot com", "john dot doe at mail dot example dot org", "john@example dot com", "john AT example DOT com",
+        "john -at- example -dot- com", "john_at_example_dot_com", "john*at*example*dot*com", "john at example.com", "john @ example.com", "john@example . com", "bob\t@\texample.com", "john(a)example.com", "john&#64;example&#46;com", "john&#x40;example.com",
+        "jоhn@example.com", "john@exаmple.com", "jo\u200bhn@example.com", "john@exam\u00adple.com", "john＠example．com", "𝗃𝗈𝗁𝗇@example.com", "juan arroba ejemplo punto com", "jean arobase exemple point fr", "hans at beispiel punkt de", "john.doe at example dot co dot uk", "JOHN[AT]EXAMPLE[DOT]COM", "john %40 example%2ecom",
+    ],
+    "phone": [
+        "plus one four one five five five five two six seven one", "plus one two 3 four 5 six 7 eight nine 0", "+1 (two one two) five five five 0 1 0 0", "plus 49 30 12345678", "+４９ ３０ １２３４５６７８", "+49 30 l2345678".replace(" l", " 1l"), "plus eins zwei drei vier fünf sechs sieben acht neun null",
+        "más plus uno dos tres cuatro cinco seis siete ocho nueve cero"[4:], "+1\u200b212\u200b555\u200b0100", "+1 212‑555‑0100", "plus un deux trois quatre cinq six sept huit neuf zéro", "Plus One, Two, Three, Four, Five, Six, Seven, Eight, Nine, Zero",
+    ],
+    "card": [
+        "four one one one one one one one one one one one one one one one", "4111 1111 1111 one one one one", "4111‑1111‑1111‑1111", "４１１１ １１１１ １１１１ １１１１", "four 1 one 1 one 1 one 1 one 1 one 1 one 1 one 1", "4111 11l1 1l11 1111", "4111\u200b1111\u200b1111\u200b1111",
+        "cuatro uno uno uno uno uno uno uno uno uno uno uno uno uno uno uno", "four-one-one-one-one-one-one-one-one-one-one-one-one-one-one-one",
+    ],
+    "ip": ["192 dot 168 dot 0 dot 1", "one nine two dot one six eight dot one dot one", "192[.]168[.]0[.]1", "192(dot)168(dot)0(dot)1", "192.168.0[.]1", "１９２.１６８.０.１", "192․168․0․1", "192 punto 168 punto 0 punto 1", "192\u200b.168.0.1", "10 dot zero dot zero dot 1"],
+}
+
+
+def test_pii_recall_of_disguises():
+    rng = random.Random(3)
+    prose = lambda: " ".join("".join(rng.choice("aeimnorst") for _ in range(rng.randint(2, 8))) for _ in range(rng.randint(3, 9)))
+    found, every = Counter(), Counter()
+    for kind, forms in DISGUISED.items():
+        for form in forms:
+            for before, after in ((prose() + ": ", ", " + prose()), ("(", ")"), (prose() + "\n", "\n" + prose()), ("", "")):
+                text, at = before + form + after, len(before)
+                base = pii.base_spans(text)
+                spans = [(a, b) for a, b, k in base + pii.added_spans(text, base) if pii.KINDS[k] == kind]
+                every[kind] += 1
+                found[kind] += (at, at + len(form)) in spans
+    assert all(found[k] >= 0.9 * every[k] for k in every), (found, every)
+
+
+def test_pii_adds_nothing_to_clean_or_plain_texts():
+    for t in (
+        "look at example.com for more", "See the point. Then go at once", "we met at 10.30 and again at 11.15", "one two three, go", "a stay-at-home day and created_at_time.py", "un deux trois quatre", "mail bob@example.com. Then go", "bob@example.com point final", "he (at) home", "1 dot 5 and 2 point 5",
+        "call +1 212 555 0100 one more time", "version 1.2.3.4 of it", "f(a) is a.b and {at} most",
     ):
-        assert [pii.KINDS[k] for _, _, k in pii.added_spans(t, pii.base_spans(t))] == [kind], t
+        assert pii.added_spans(t, pii.base_spans(t)) == [], t
     rng = random.Random(8)
-    signs = ["one", "Two", "zero", "sechs", "plus", "at", "dot", "punkt", "arroba", "@", ".", "[", ")", "<", "+49", "7", "192", "168", "bob", "com", "\t", " ", " ", " ", "-", ",", "о", "\u200b", "é", "４"]
-    found = 0
+    signs = ["one", "Two", "zero", "sechs", "plus", "at", "dot", "punkt", "arroba", "@", ".", "[", ")", "<", "+49", "7", "192", "168", "bob", "com", "\t", " ", " ", " ", "-", "_", ",", "о", "\u200b", "é", "４", "&#64;", "İ"]
     for _ in range(20000):
         t = "".join(rng.choice(signs) + rng.choice(["", " "]) for _ in range(rng.randint(1, 24)))
-        got = pii.added_spans(t, pii.base_spans(t))
-        found += len(got)
-        assert got == ungated(t), t
-    assert found > 50
+        base = pii.base_spans(t)
+        added = pii.added_spans(t, base)
+        for kind in range(4):
+            own = [(a, b) for a, b, k in added if k == kind]
+            assert all(0 <= a < b <= len(t) for a, b in own) and all(x[1] <= y[0] for x, y in zip(own, own[1:], strict=False))
+            assert not any(x <= a and b <= y for a, b in own for x, y, k in base if k == kind), t
+
+
+def test_pii_takes_time_in_proportion_to_the_text():
+    for unit in ("n", "one ", " ", "\t@ ", "at ", "dot ", "@", "a@", "1.", "plus ", "a dot ", "1o", "a-at-", "+1 ", "un, ", "at x.", "(at) ", "a@b dot ", "&#46;", "1 ", "_at_x_dot_", "\u200b", "о"):
+        t = "user [at] x [dot] com " + unit * (200_000 // len(unit)) + "@b.com"
+        began = time.process_time()
+        pii.added_spans(t, pii.base_spans(t))
+        assert time.process_time() - began < 5, unit
 
 
 def test_pipeline(spark, docs, tmp_path):
