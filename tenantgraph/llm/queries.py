@@ -114,7 +114,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 
 _MIX = r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>]'))::DOUBLE AS symbols,
-  (CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT)::DOUBLE + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u FROM documents),
+  (CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || coalesce(md5(text), 'null') || ':' || (row_number() OVER (PARTITION BY doc_id, text) - 1)), 1, 13) AS BIGINT)::DOUBLE + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u FROM documents),
 k AS (SELECT *, -ln(u) / (1.0::DOUBLE / (1.0::DOUBLE + 4.0::DOUBLE * symbols / greatest(size, 1)::DOUBLE)) AS key FROM d),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM k GROUP BY source),
 w AS (SELECT *, [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INTEGER)] AS weight, source_size * 3.0::DOUBLE AS most FROM s),
