@@ -1,15 +1,17 @@
 """Line dedup by site-relative frequency, in DataFrame operations alone.
 
 Lines are grouped by host. A line goes where the pages of its host that hold it, divided by all pages of that host,
-exceed max_ratio, and at least min_pages of them hold it. Lines compare without the spaces around them; blank lines stay.
+exceed max_ratio, and at least min_pages of them hold it: by default two, without which all lines of a host of few pages
+would go, as one page is then more than the ratio. Lines compare without the spaces around them; blank lines stay.
 
 Each page hands on one row per different line (host, digest), summed before the shuffle, so a host or a line with a third
 of all rows is a count, not a group. The lines of a host that go number at most (different lines on its average page) /
 max_ratio, so they fit in one array per host, however many pages it has. These arrays join the pages by host: broadcast
-where their counted size is under broadcast_lines, else shuffled, where adaptive execution splits a large host.
+where their counted size is under broadcast_lines, else shuffled, where adaptive execution splits a large host. A page meets
+its host's array in a hashed intersection, and its lines are then looked up among its own that go.
 
 Defined results: a null text has no lines and stays null, but its page counts; a null host is a host. Rows that share an
-id count as separate pages.
+id, and rows that repeat, count as separate pages. An empty table gives an empty one. Columns of any name pass through.
 """
 
 from __future__ import annotations
@@ -17,11 +19,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenantgraph.llm.shared import stash
+from tenantgraph.llm.shared import named, stash
 
 
 def line_digest(line: Column) -> Column:
-    return F.unhex(F.md5(F.trim(line)))
+    return F.md5(F.trim(line))
 
 
 def boilerplate(pages: DataFrame, max_ratio: float, min_pages: int) -> DataFrame:
@@ -35,7 +37,7 @@ def boilerplate(pages: DataFrame, max_ratio: float, min_pages: int) -> DataFrame
 
 
 def drop_boilerplate_lines(
-    pages: DataFrame, *, site: Column, lines: Column, out: str = "lines", max_ratio: float = 0.1, min_pages: int = 5, broadcast_lines: int = 100_000
+    pages: DataFrame, *, site: Column, lines: Column, out: str = "lines", max_ratio: float = 0.1, min_pages: int = 2, broadcast_lines: int = 100_000
 ) -> DataFrame:
     """pages with a column `out`: the lines that stay, an array of strings, null where the lines are null."""
     found = stash(boilerplate(pages.select(site.alias("site"), lines.alias("lines")), max_ratio, min_pages), "lines-found")
@@ -43,15 +45,16 @@ def drop_boilerplate_lines(
     found = found.select(F.struct("site", "digests").alias("__tg_found"))
     found = F.broadcast(found) if size <= broadcast_lines else found.hint("merge")
     joined = pages.withColumn("__tg_lines", lines).join(found, site.eqNullSafe(F.col("__tg_found.site")), "left")
-    stays = F.filter("__tg_lines", lambda x: (F.trim(x) == "") | ~F.array_contains("__tg_found.digests", line_digest(x)))
-    kept = F.when(F.col("__tg_found").isNull(), F.col("__tg_lines")).otherwise(stays)
-    return joined.withColumn(out, kept).drop("__tg_lines", "__tg_found") if out != "__tg_lines" else joined.withColumn(out, kept).drop("__tg_found")
+    joined = joined.withColumn("__tg_gone", F.array_intersect(F.transform("__tg_lines", line_digest), "__tg_found.digests"))
+    stays = F.filter("__tg_lines", lambda x: (F.trim(x) == "") | ~F.array_contains("__tg_gone", line_digest(x)))
+    kept = F.when(F.coalesce(F.size("__tg_gone"), F.lit(0)) > 0, stays).otherwise(F.col("__tg_lines"))
+    return joined.withColumn(out, kept).drop("__tg_lines", "__tg_found", "__tg_gone")
 
 
-def drop_repeated_lines(docs: DataFrame, *, site_col: str = "source", text_col: str = "text", length_col: str | None = "n_chars", max_ratio: float = 0.1, min_pages: int = 5) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, *, site_col: str = "source", text_col: str = "text", length_col: str | None = "n_chars", max_ratio: float = 0.1, min_pages: int = 2) -> DataFrame:
     """docs with such lines gone from their texts, and length_col set to the length that is left. No row goes."""
     columns = docs.columns
-    kept = drop_boilerplate_lines(docs, site=F.col(site_col), lines=F.split(F.col(text_col), "\n", -1), out="__tg_kept", max_ratio=max_ratio, min_pages=min_pages)
+    kept = drop_boilerplate_lines(docs, site=named(site_col), lines=F.split(named(text_col), "\n", -1), out="__tg_kept", max_ratio=max_ratio, min_pages=min_pages)
     text = F.array_join("__tg_kept", "\n")
     new = {text_col: text.alias(text_col)} | ({length_col: F.length(text).cast("long").alias(length_col)} if length_col in columns else {})
-    return kept.select(*[new.get(c, F.col(c)) for c in columns])
+    return kept.select(*[new.get(c, named(c)) for c in columns])

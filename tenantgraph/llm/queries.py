@@ -133,7 +133,7 @@ _LINES = r"""
 WITH p AS (SELECT row_number() OVER () AS r, page_id, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host, string_split(regexp_replace(html, '<[^>]*>', chr(10), 'g'), chr(10)) AS lines FROM pages),
 l AS (SELECT r, host, pos, line FROM (SELECT r, host, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS pos FROM p) WHERE trim(line) <> ''),
 t AS (SELECT host, count(*) AS n FROM p GROUP BY host),
-bad AS (SELECT l.host, trim(line) AS line FROM l JOIN t ON l.host IS NOT DISTINCT FROM t.host GROUP BY l.host, trim(line), n HAVING count(DISTINCT r) >= 5 AND count(DISTINCT r) > n * 0.1::DOUBLE),
+bad AS (SELECT l.host, trim(line) AS line FROM l JOIN t ON l.host IS NOT DISTINCT FROM t.host GROUP BY l.host, trim(line), n HAVING count(DISTINCT r) >= 2 AND count(DISTINCT r) > n * 0.1::DOUBLE),
 m AS (SELECT l.*, bad.line IS NOT NULL AS gone FROM l LEFT JOIN bad ON bad.host IS NOT DISTINCT FROM l.host AND bad.line = trim(l.line)),
 a AS (SELECT r, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone) AS kept FROM m GROUP BY r)
 SELECT page_id, host, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, CASE WHEN lines IS NOT NULL THEN md5(coalesce(kept, '')) END AS kept_md5 FROM p LEFT JOIN a USING (r)
