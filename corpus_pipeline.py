@@ -8,7 +8,7 @@ from tenantgraph.llm.line_dedup import drop_repeated_lines
 from tenantgraph.llm.mixing import mixed
 from tenantgraph.llm.packing import pack
 from tenantgraph.llm.quality_rules import quality_rules
-from tenantgraph.llm.shared import stash
+from tenantgraph.llm.shared import mark, release, stash
 from tenantgraph.llm.simhash import drop_near_copies
 
 
@@ -47,9 +47,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The stages one after another. What a stage has written for itself goes when its result is written; the last one's result is lazy
+    and reads its tables, which llm.shared.release() removes afterwards."""
+    docs, begin = spark.read.parquet(f"{sf_dir}/documents.parquet"), mark(spark)
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = stash(docs, f"pipeline-{i}")
+            release(spark, begin, but=1)
     return docs
