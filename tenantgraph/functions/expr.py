@@ -7,6 +7,7 @@ ranged over. Refusals that protect scope or classification hold in both.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
 
@@ -70,10 +71,12 @@ def storage_of(e: Expr, resource: Resource) -> str | None:
 
 
 class Compiler:
-    """loading: the expression is a loaded value, where a division by zero is an error; elsewhere it is infinite."""
+    """loading: the expression is a loaded value, where a division by zero is an error; elsewhere it is infinite. of: where an
+    attribute's value lies, by default in the column of its name."""
 
-    def __init__(self, resource: Resource, strict: bool = True, loading: bool = False):
+    def __init__(self, resource: Resource, strict: bool = True, loading: bool = False, of: Callable[[str], Column] | None = None):
         self.resource, self.strict, self.loading = resource, strict, loading
+        self.of = of or (lambda name: F.col(f"`{name}`"))
 
     def column(self, e: Expr | Any) -> Column:
         e = lit(e)
@@ -84,7 +87,7 @@ class Compiler:
         a = self.resource.by_name.get(name)
         if a is None or a.skip or a.sensitive and not presence:
             raise UnsupportedFilter("field_not_filterable", operator=op, field=name)
-        return F.col(f"`{name}`")
+        return self.of(name)
 
     def _ref(self, e: Expr) -> Column:
         name = e.args[0]

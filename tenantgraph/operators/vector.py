@@ -22,27 +22,36 @@ K1, B = 1.2, 0.75
 
 
 def candidates(q: Query, allow_global: bool = False, max_candidates: int | None = None) -> DataFrame:
-    """The rows that may be ranked. A ceiling, where one is given, refuses; it never truncates."""
+    """The rows that may be ranked. A ceiling refuses; it never truncates. Strict searches within a tenant have one of MAX_CANDIDATES
+    unless another is given; without strict, only a given one holds."""
     r = q.resource
     if q.branches or q.limit_ is not None or q.offset_ or q.loads or q.distincts:
         raise QueryFailed("unsupported_vector_query")
-    if r.tenancy == "attribute" and q.tenant is None:
-        if allow_global is not True:
-            raise QueryFailed("tenant_required")
-        df = q.source.scan(r, r.database)
-        if r.policy and r.policy.row:
-            df = df.where(r.policy.row(q.actor))
-        from tenantgraph.functions.expr import Compiler
-
-        return reduce(lambda d, e: d.where(Compiler(r, q.strict).column(e)), q.filters, df)
-    if r.tenancy:
+    everyone = r.tenancy == "attribute" and q.tenant is None
+    if everyone and allow_global is not True:
+        raise QueryFailed("tenant_required")
+    if r.tenancy and not everyone:
         tenancy.normalise(q.tenant)
-    df = q.filtered()
+    df = q.filtered(everyone)
+    if isinstance(max_candidates, bool) or max_candidates is not None and (not isinstance(max_candidates, int) or max_candidates < 1):
+        max_candidates = MAX_CANDIDATES  # a wrong setting must not open the ceiling
+    if max_candidates is None and q.strict and r.tenancy and not everyone:
+        max_candidates = MAX_CANDIDATES
     if max_candidates is not None and df.limit(max_candidates + 1).count() > max_candidates:
         raise QueryFailed("too_many_candidates")
     return df
 
 
+def _visible(q: Query, *names: str) -> None:
+    """Ranking and grouping tell of a field's values, so they need one that is stored, not sensitive, and not hidden."""
+    for name in names:
+        a = q.resource.by_name.get(name)
+        if a is None or a.skip or a.sensitive:
+            raise QueryFailed("field_not_stored", field=name)
+        if name in q.hidden():
+            raise QueryFailed("field_not_visible", field=name)
+
+
 def _vector(values: Sequence[float], dimensions: int) -> list[float]:
     if len(values) != dimensions or any(isinstance(v, bool) or not isinstance(v, (int, float)) or not math.isfinite(v) for v in values):
         raise QueryFailed("invalid_vector")
@@ -76,44 +85,46 @@ def knn(q: Query, attribute: str, vector: Sequence[float], k: int, *, max_distan
     index = next((v for v in q.resource.vector_indexes if v.attribute == attribute), None)
     if index is None:
         raise QueryFailed("no_vector_index", field=attribute)
+    _visible(q, attribute)
     d = distance(F.col(f"`{attribute}`"), _vector(vector, index.dimensions), index.similarity)
     df = candidates(q, allow_global, max_candidates).withColumn("distance", d).where(F.col("distance").isNotNull())
     if max_distance is not None:
         df = df.where(F.col("distance") <= max_distance)
-    return df.orderBy("distance", *q.resource.pk).limit(_k(k))
+    return q.masked(df.orderBy("distance", *q.resource.pk).limit(_k(k)), "distance")
 
 
-def sparse(q: Query, name: str, tokens: Sequence[int], weights: Sequence[float], k: int, *, group_by: str | None = None, group_size: int = 1, allow_global: bool = False) -> DataFrame:
+def sparse(q: Query, name: str, tokens: Sequence[int], weights: Sequence[float], k: int, *, group_by: str | None = None, group_size: int = 1, allow_global: bool = False, max_candidates: int | None = None) -> DataFrame:
     """The k rows (or, with group_by, up to group_size rows of each of the k best groups) of the highest score."""
     index = next((s for s in q.resource.sparse_indexes if s.name == name), None)
     if index is None or len(tokens) != len(weights) or not tokens or len(set(tokens)) != len(tokens):
         raise QueryFailed("invalid_sparse_query")
+    _visible(q, index.tokens, index.weights, *([group_by] if group_by is not None else []))
     asked = F.create_map(*[x for t, w in zip(tokens, weights, strict=True) for x in (F.lit(int(t)), F.lit(float(w)))])
     pairs = F.filter(F.arrays_zip(F.col(index.tokens).alias("t"), F.col(index.weights).alias("w")), lambda p: F.array_contains(F.lit([int(t) for t in tokens]), p["t"].cast("int")))
     score = F.aggregate(pairs, F.lit(0.0), lambda s, p: s + p["w"].cast("double") * F.element_at(asked, p["t"].cast("int")))
-    df = candidates(q, allow_global).withColumn("__tg_hits", F.size(pairs)).where("__tg_hits > 0").withColumn("score", score).drop("__tg_hits")
+    df = candidates(q, allow_global, max_candidates).withColumn("__tg_hits", F.size(pairs)).where("__tg_hits > 0").withColumn("score", score).drop("__tg_hits")
     best = [F.desc("score"), *q.resource.pk]
     if group_by is None:
-        return df.orderBy(*best).limit(_k(k))
+        return q.masked(df.orderBy(*best).limit(_k(k)), "score")
     within = F.row_number().over(Window.partitionBy(group_by).orderBy(*best))
     df = df.withColumn("__tg_n", within).where(F.col("__tg_n") <= group_size).drop("__tg_n")
     leaders = df.groupBy(group_by).agg(F.max("score").alias("__tg_top")).orderBy(F.desc("__tg_top"), group_by).limit(_k(k))
-    return df.join(leaders.select(F.col(group_by).alias("__tg_g")), F.col(group_by).eqNullSafe(F.col("__tg_g")), "left_semi")
+    return q.masked(df.join(leaders.select(F.col(group_by).alias("__tg_g")), F.col(group_by).eqNullSafe(F.col("__tg_g")), "left_semi"), "score")
 
 
-def fulltext(q: Query, attribute: str, text: str, k: int, *, allow_global: bool = False) -> DataFrame:
+def fulltext(q: Query, attribute: str, text: str, k: int, *, allow_global: bool = False, max_candidates: int | None = None) -> DataFrame:
     """BM25 over lower-case runs of letters and digits, on the statistics of the rows in scope.
 
-    Texts are cut into words once; postings of the asked terms alone are counted, without an exploded index.
+    Runs are counted, not cut out: all of them once, and those of a term only in texts that contain it.
     """
     terms = sorted({t for t in _words(text)})
     if not terms:
         raise QueryFailed("empty_text")
-    words = F.regexp_extract_all(F.lower(F.col(f"`{attribute}`")), F.lit(r"([\p{L}\p{N}]+)"), 1)
-    df = candidates(q, allow_global).withColumn("__tg_w", words).withColumn("__tg_n", F.size("__tg_w").cast("double"))
+    _visible(q, attribute)
+    low = F.lower(F.col(f"`{attribute}`"))
+    df = candidates(q, allow_global, max_candidates).withColumn("__tg_n", F.regexp_count(low, F.lit(r"[\p{L}\p{N}]+")).cast("double"))
     for i, t in enumerate(terms):
-        df = df.withColumn(f"__tg_f{i}", _occurrences(t))
-    df = df.drop("__tg_w")
+        df = df.withColumn(f"__tg_f{i}", F.when(low.contains(t), F.regexp_count(low, F.lit(rf"(?<![\p{{L}}\p{{N}}]){t}(?![\p{{L}}\p{{N}}])"))).otherwise(F.when(low.isNotNull(), F.lit(0))).cast("double"))
     stats = df.agg(F.count(F.lit(1)).cast("double").alias("__tg_docs"), F.avg("__tg_n").alias("__tg_avg"), *[F.sum((F.col(f"__tg_f{i}") > 0).cast("double")).alias(f"__tg_d{i}") for i in range(len(terms))])
     df = df.where(reduce(lambda a, b: a | b, [F.col(f"__tg_f{i}") > 0 for i in range(len(terms))])).join(F.broadcast(stats))  # one row
     parts = []
@@ -122,11 +133,7 @@ def fulltext(q: Query, attribute: str, text: str, k: int, *, allow_global: bool
         idf = F.ln(F.lit(1.0) + (F.col("__tg_docs") - d + 0.5) / (d + 0.5))
         parts.append(idf * f * (K1 + 1) / (f + K1 * (1 - B + B * F.col("__tg_n") / F.col("__tg_avg"))))
     df = df.withColumn("score", reduce(lambda a, b: a + b, parts))
-    return df.select(*q.resource.stored, "score").orderBy(F.desc("score"), *q.resource.pk).limit(_k(k))
-
-
-def _occurrences(term: str) -> Column:
-    return F.size(F.filter("__tg_w", lambda w: w == term)).cast("double")
+    return q.masked(df.orderBy(F.desc("score"), *q.resource.pk).limit(_k(k)), "score")
 
 
 def _words(text: str) -> list[str]:

@@ -61,10 +61,6 @@ class Query:
         Compiler(self.resource, self.strict).column(e)
         return replace(self, filters=(*self.filters, e))
 
-    def where_column(self, condition: Column) -> Query:
-        """For operators of the engine itself: a condition that is already compiled."""
-        return replace(self, extra=(*self.extra, condition))
-
     def sort(self, *by: str | Sort) -> Query:
         by_ = tuple((x, "asc") if isinstance(x, str) else tuple(x) for x in by)
         for name, direction in by_:
@@ -143,20 +139,20 @@ class Query:
 
     # Lowering
 
-    def scoped(self) -> DataFrame:
-        """Scan, tenant, row policy."""
+    def scoped(self, everyone: bool = False) -> DataFrame:
+        """Scan, tenant, row policy. everyone: the rows of all tenants of a discriminator, for who is allowed to ask."""
         r = self.resource
-        tenant = tenancy.normalise(self.tenant) if r.tenancy else None
+        tenant = tenancy.normalise(self.tenant) if r.tenancy and not (everyone and r.tenancy == "attribute") else None
         df = self.source.scan(r, tenancy.database_of(tenant) if r.tenancy == "context" else r.database)
-        if r.tenancy == "attribute":
+        if r.tenancy == "attribute" and not everyone:
             df = df.where(F.col(f"`{r.discriminator}`") == F.lit(tenant))
         if r.policy and r.policy.row:
             df = df.where(r.policy.row(self.actor))
         return df
 
-    def filtered(self) -> DataFrame:
+    def filtered(self, everyone: bool = False) -> DataFrame:
         compiler = Compiler(self.resource, self.strict)
-        df = self.scoped()
+        df = self.scoped(everyone)
         for e in self.filters:
             df = df.where(compiler.column(e))
         for c in self.extra:
@@ -181,34 +177,46 @@ class Query:
                 return acc.unionByName(_by_key(branch, acc, pk, "left_anti"))
             return _by_key(acc, branch, pk, "left_semi" if kind == "intersect" else "left_anti")
 
-        outer = replace(self, branches=())
         plans = []
         for kind, b in self.branches:
-            branch = replace(b, tenant=self.tenant if self.resource.tenancy else b.tenant, actor=self.actor, filters=(*self.filters, *b.filters), extra=(*outer.extra, *b.extra))
+            branch = replace(b, tenant=self.tenant if self.resource.tenancy else b.tenant, actor=self.actor, filters=(*self.filters, *b.filters))
             plans.append((kind, branch._paged(branch.filtered())))
-        return reduce(fold, plans[1:], plans[0][1])
+        return reduce(lambda df, c: df.where(c), self.extra, reduce(fold, plans[1:], plans[0][1]))  # a cursor moves over the whole, not over each branch
 
     def rows(self) -> DataFrame:
         """All steps but the masks and loads."""
-        df = self._combined() if self.branches else self.filtered()
+        df = self.pinned()._combined() if self.branches else self.filtered()
         if self.distincts:
             order = self._order(self.distinct_sorts or self.sorts)
             rank = F.row_number().over(Window.partitionBy(*[F.col(f"`{n}`") for n in self.distincts]).orderBy(*order))
             df = df.withColumn("__tg_rank", rank).where("__tg_rank = 1").drop("__tg_rank")
         return self._paged(df)
 
+    def pinned(self) -> Query:
+        """The query with its branches on one state of their stores, where these change."""
+        states: dict[int, Any] = {}
+        fixed = lambda source: states.setdefault(id(source), source.pinned() if hasattr(source, "pinned") else source)
+        return replace(self, source=fixed(self.source), branches=tuple((kind, replace(b, source=fixed(b.source))) for kind, b in self.branches))
+
+    def hidden(self) -> set[str]:
+        return self.resource.policy.hidden(self.actor) if self.resource.policy else set()
+
+    def masked(self, df: DataFrame, *more: Column | str) -> DataFrame:
+        """The stored columns of rows, those that the actor may not see as nulls, and more."""
+        hidden, kinds = self.hidden(), dict(df.dtypes)
+        return df.select(*[F.lit(None).cast(kinds[n]).alias(n) if n in hidden else F.col(f"`{n}`") for n in self.resource.stored], *more)
+
     def to_df(self) -> DataFrame:
         if self.resource.tenancy and self.tenant is None:
             raise TenantRequired("tenant_required")
         df = self.rows()
-        columns = [F.col(f"`{n}`") for n in self.resource.stored]
         compiler = Compiler(self.resource, self.strict, loading=True)
+        hidden, loaded = self.hidden(), []
         for name in self.loads:
             calc = self.resource.calculations[name]
-            columns.append((compiler.column(calc) if isinstance(calc, Expr) else calc(df)).alias(name))
-        hidden = self.resource.policy.hidden(self.actor) if self.resource.policy else set()
-        kinds = dict(df.dtypes)
-        return df.select(*[F.lit(None).cast(kinds[n]).alias(n) if n in hidden else c for n, c in zip([*self.resource.stored, *self.loads], columns, strict=True)])
+            c = compiler.column(calc) if isinstance(calc, Expr) else calc(df)
+            loaded.append((F.lit(None).cast(df.select(c).schema[0].dataType) if name in hidden else c).alias(name))
+        return self.masked(df, *loaded)
 
     def collect(self) -> list:
         with telemetry.span("read", resource=self.resource.label) as more:
