@@ -1,18 +1,26 @@
 """Bounded traversal over edges, scoped and authorised per hop.
 
-Tenant and row policy are put on vertices and edges before the expansion, which is the same as asking it of every node and
-edge of every path, and cheaper. Where only reachability is asked (min_depth 1, directed), pairs of source and node are
-made distinct after each hop, so the work is bounded by the pairs and not by the number of paths. Otherwise paths are
-trails: each carries its edge ids and uses none twice. The depth is a number, so the plan is a fixed chain of joins.
+Tenant and row policy are put on vertices before the expansion, which is the same as asking it of every node of every path,
+and cheaper; edges are scoped as they are read. Where only reachability is asked (min_depth 1), pairs of source and node are
+made distinct after each hop, so the work is bounded by the pairs and not by the number of paths; undirected, the pairs carry
+the first edge as well, which may not be used again, or each step back would seem a way home. Otherwise paths are trails: each
+carries its edge ids and uses none twice. The depth is a number, so the plan is a fixed chain of joins, and a hop looks at the
+vertices of its far ends alone: the near ones passed that look a hop before.
+
+A path begins at a row of the source's label and ends at one of the destination's. In between it may pass vertices of both and
+of the labels in `through`, each by its own tenant and policy. Keys tell vertices apart within a label; where edges have the
+columns src_label and dst_label, labels count too, else labels whose keys meet are one.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, Row, Window
+from pyspark.sql import Column, DataFrame, Observation, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tenantgraph import telemetry, tenancy
 from tenantgraph.errors import QueryFailed, UnsupportedAggregate, redacted
@@ -58,61 +66,82 @@ def scope_of(q: Query, dest: Query) -> Scope:
     return (scoped[0].resource.discriminator, tenancy.normalise(scoped[0].tenant)) if scoped else None
 
 
-def _vertices(nodes: Query, scope: Scope) -> DataFrame:
-    """(v): keys of the vertices that a path may use. A vertex type without the discriminator carries no tenant, so none of it."""
+def _vertices(nodes: Query, scope: Scope, labelled: bool) -> DataFrame:
+    """(v): the vertices that a path may use. A vertex type without the discriminator carries no tenant, so none of it."""
+    if len(nodes.resource.pk) != 1:
+        raise QueryFailed("composite_key")
     rows = nodes.scoped()
     if scope and nodes.resource.tenancy != "attribute":
         rows = rows.where(F.col(f"`{scope[0]}`") == F.lit(scope[1]) if scope[0] in nodes.resource.stored else F.lit(False))
-    return rows.select(F.col(f"`{nodes.resource.pk[0]}`").alias("v"))
+    return rows.select(vertex(F.col(f"`{nodes.resource.pk[0]}`"), F.lit(nodes.resource.label), labelled).alias("v"))
+
+
+def vertex(key: Column, label: Column, labelled: bool) -> Column:
+    return F.concat_ws(":", label, key.cast("string")) if labelled else key
 
 
 def _edges(t: Traversal, edges: DataFrame, scope: Scope, vertices: DataFrame) -> DataFrame:
+    """(e, a, b): steps to vertices that a path may use."""
+    labelled = has_labels(edges)
     if scope and t.scope_edges:
         edges = edges.where(F.col(t.tenant_column) == F.lit(scope[1]))
-    out = edges.select("edge_id", F.col("src").alias("a"), F.col("dst").alias("b"))
-    turned = edges.select("edge_id", F.col("dst").alias("a"), F.col("src").alias("b"))
+    src, dst = (vertex(F.col(end), F.col(f"{end}_label") if labelled else F.lit(""), labelled) for end in ("src", "dst"))
+    out = edges.select(F.col("edge_id").alias("e"), src.alias("a"), dst.alias("b"))
+    turned = edges.select(F.col("edge_id").alias("e"), dst.alias("a"), src.alias("b"))
     out = {"outgoing": out, "incoming": turned, "both": out.unionByName(turned).distinct()}[t.direction]
-    for end in ("a", "b"):
-        out = out.join(vertices.select(F.col("v").alias("__tg_v")), F.col(end) == F.col("__tg_v"), "left_semi")
-    return out
+    return out.join(vertices.select(F.col("v").alias("__tg_v")), F.col("b") == F.col("__tg_v"), "left_semi")
 
 
-def reach(sources: DataFrame, t: Traversal, edges: DataFrame, nodes: Query, scope: Scope = None, seen: Observation | None = None) -> DataFrame:
-    """sources (source_id) to distinct (source_id, node_id). seen: told how many there were before they were made distinct."""
-    if len(nodes.resource.pk) != 1:
-        raise QueryFailed("composite_key")
-    vertices = _vertices(nodes, scope)
+def has_labels(edges: DataFrame) -> bool:
+    return {"src_label", "dst_label"} <= set(edges.columns)
+
+
+def reach(sources: DataFrame, t: Traversal, edges: DataFrame, nodes: Query, scope: Scope = None, seen: Observation | None = None, others: tuple[Query, ...] = (), of: Query | None = None) -> DataFrame:
+    """sources (source_id) to distinct (source_id, node_id), node_id a vertex. nodes: the destination's label; of: the source's, if it is
+    another; others: those between. seen: told how many there were before they were made distinct."""
+    labelled = has_labels(edges)
+    of = of or nodes
+    kinds = {(x.resource.label, x.resource.database): x for x in (*others, of, nodes)}
+    vertices = reduce(DataFrame.unionByName, [_vertices(x, scope, labelled) for x in kinds.values()])
     steps = _edges(t, edges, scope, vertices)
-    start = sources.select("source_id").distinct().join(vertices, F.col("source_id") == F.col("v"), "left_semi")
-    if t.min_depth == 1 and t.direction != "both":
-        level, found = start.select("source_id", F.col("source_id").alias("node_id")), None
+    own = _vertices(kinds[of.resource.label, of.resource.database], scope, labelled)
+    start = sources.select("source_id", vertex(F.col("source_id"), F.lit(of.resource.label), labelled).alias("node_id")).distinct()
+    start = start.join(own, F.col("node_id") == F.col("v"), "left_semi")
+    if t.min_depth == 1:
+        undirected = t.direction == "both"
+        level, found = start.withColumn("first", F.lit(None).cast(steps.schema["e"].dataType)), None
         for _ in range(t.max_depth):
-            level = level.join(steps, level.node_id == steps.a).select("source_id", F.col("b").alias("node_id")).distinct()
+            onward = level.join(steps, (level.node_id == steps.a) & (F.col("first").isNull() | (F.col("e") != F.col("first")) if undirected else F.lit(True)))
+            level = onward.select("source_id", F.col("b").alias("node_id"), F.coalesce("first", "e").alias("first") if undirected else F.col("first")).distinct()
             found = level if found is None else found.unionByName(level)
+        found = found.select("source_id", "node_id")
     else:
         found = trails(start, t, steps).select("source_id", "node_id")
     return (found.observe(seen, F.count(F.lit(1)).alias("row_count")) if seen else found).distinct()
 
 
 def trails(start: DataFrame, t: Traversal, steps: DataFrame) -> DataFrame:
-    """(source_id, node_id, path, edge_ids): every trail of min_depth to max_depth hops over steps (edge_id, a, b)."""
-    level = start.select("source_id", F.col("source_id").alias("node_id"), F.array("source_id").alias("path"), F.array().cast("array<long>").alias("edge_ids"))
+    """(source_id, node_id, path, edge_ids): every trail of min_depth to max_depth hops from start (source_id, node_id) over steps (e, a, b)."""
+    none = F.array().cast(T.ArrayType(steps.schema["e"].dataType))
+    level = start.select("source_id", "node_id", F.array("node_id").alias("path"), none.alias("edge_ids"))
     out = None
     for depth in range(1, t.max_depth + 1):
-        step = steps.select(F.col("edge_id").cast("long").alias("e"), "a", "b")
-        level = level.join(step, (level.node_id == step.a) & ~F.array_contains("edge_ids", F.col("e")))
+        level = level.join(steps, (level.node_id == steps.a) & ~F.array_contains("edge_ids", F.col("e")))
         level = level.select("source_id", F.col("b").alias("node_id"), F.concat("path", F.array("b")).alias("path"), F.concat("edge_ids", F.array("e")).alias("edge_ids"))
         if depth >= t.min_depth:
             out = level if out is None else out.unionByName(level)
     return out
 
 
-def traverse(q: Query, t: Traversal, edges: DataFrame, dest: Query, seen: Observation | None = None) -> DataFrame:
-    """(source_id, destination columns): the caller's filter and sort act on destinations alone, never on the way there."""
+def traverse(q: Query, t: Traversal, edges: DataFrame, dest: Query, seen: Observation | None = None, through: tuple[Query, ...] = ()) -> DataFrame:
+    """(source_id, destination columns): the caller's filter and sort act on destinations alone, never on the way there. Rows with a
+    null edge id are no edges of an undirected traversal."""
+    bare = lambda x: Query(x.resource, x.source, x.tenant, x.actor, strict=x.strict)
     sources = q.to_df().select(F.col(f"`{q.resource.pk[0]}`").alias("source_id"))
-    found = reach(sources, t, edges, Query(dest.resource, dest.source, dest.tenant, dest.actor, strict=dest.strict), scope_of(q, dest), seen)
+    found = reach(sources, t, edges, bare(dest), scope_of(q, dest), seen, tuple(bare(x) for x in through), bare(q) if q.resource.label != dest.resource.label else None)
     rows = dest.to_df()
-    out = found.join(rows, found.node_id == F.col(f"`{dest.resource.pk[0]}`")).drop("node_id")
+    key = vertex(F.col(f"`{dest.resource.pk[0]}`"), F.lit(dest.resource.label), has_labels(edges))
+    out = found.join(rows, found.node_id == key).drop("node_id")
     if t.limit is not None or t.offset:
         rank = F.row_number().over(Window.partitionBy("source_id").orderBy(*dest._order(dest.sorts)))
         out = out.withColumn("__tg_rank", rank).where(F.col("__tg_rank") > t.offset)
