@@ -5,17 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenantgraph.errors import QueryFailed
 from tenantgraph.resource import Resource
 
 
-def decoded(df: DataFrame, resource: Resource) -> DataFrame:
-    """The declared columns, cast to their storage classes; a column the data lacks is null."""
+def decoded(df: DataFrame, resource: Resource, *more: Column) -> DataFrame:
+    """The declared columns, cast to their storage classes, and more; a column the data lacks is null."""
     have = set(df.columns)
-    return df.select(*[(F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in resource.schema])
+    return df.select(*[(F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in resource.schema], *more)
 
 
 @dataclass(frozen=True)

@@ -19,7 +19,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tenantgraph import telemetry
 from tenantgraph.errors import CdcError, GraphError
 from tenantgraph.resource import Resource
-from tenantgraph.sources.store import Store
+from tenantgraph.sources.scan import decoded
+from tenantgraph.sources.store import Store, Transaction
 
 SCHEMA = "commit_lsn long, seq long, op string, schema string, `table` string, record map<string,string>, old_record map<string,string>"
 
@@ -66,7 +67,7 @@ def folded(changes: DataFrame, spec: MirrorSpec) -> DataFrame:
     gone = rows.where(removal).select(*[old(k).alias(k) for k in keys], "at", F.lit(0).alias("step"), F.lit(None).cast("map<string,string>").alias("given"))
     put = rows.where("op <> 'delete'").select(*[of("record", k).alias(k) for k in keys], "at", F.lit(1).alias("step"), F.col("record").alias("given"))
     both = gone.unionByName(put).withColumn("at", F.struct("at", "step"))
-    values = [c for c in r.stored if c not in keys]
+    values = [c for c in r.stored if c not in keys and c not in spec.skip]
     has = lambda c: F.map_contains_key("given", F.lit(spec.source_of(c)))
     out = both.groupBy(*keys).agg(
         F.max(F.when(F.col("step") == 0, F.col("at"))).alias("last_gone"), F.max(F.when(F.col("step") == 1, F.col("at"))).alias("last_put"),
@@ -102,6 +103,9 @@ def mirrored(old: DataFrame, changes: DataFrame, spec: MirrorSpec, truncated: bo
         if c in keys:
             columns.append(F.coalesce(F.col(f"`{c}`"), F.col(f"__tg_k_{c}")).alias(c))
             continue
+        if c in spec.skip:
+            columns.append(F.when(untouched | ~fresh, F.col(f"`{c}`")).alias(c))
+            continue
         given = F.col(f"__tg_{c}")
         columns.append(F.when(untouched, F.col(f"`{c}`")).when(given.isNotNull(), given["v"].cast(r.schema[c].dataType)).when(fresh, F.lit(None)).otherwise(F.col(f"`{c}`")).alias(c))
     return both.where(untouched | F.col("__tg_live")).select(*columns)
@@ -129,32 +133,40 @@ def check(changes: DataFrame, specs: dict[tuple[str, str], MirrorSpec]) -> None:
 
 
 def apply(store: Store, changes: DataFrame, specs: list[MirrorSpec], slot: str, database: str | None = None) -> int | None:
-    """Applies the transactions above the slot's watermark, all or none; the watermark after it."""
+    """Applies the transactions above the slot's watermark, all or none; the watermark after it. The watermark is read in the state that
+    the commit replaces, so of two appliers one commits and the other begins again from there."""
     by = index(specs)
+
+    def work(tx: Transaction) -> int | None:
+        before = tx.watermarks.get(slot, tx.base["watermarks"].get(slot))
+        fresh = (changes.where(F.col("commit_lsn") > before) if before is not None else changes).persist()
+        kept.append(fresh)
+        top = fresh.agg(F.max("commit_lsn")).first()[0]
+        if top is None:
+            return before
+        check(fresh, by)
+        for (schema, table), s in by.items():
+            mine = fresh.where((F.coalesce("schema", F.lit("public")) == schema) & (F.col("table") == table))
+            ops = {x["op"] for x in mine.select("op").distinct().collect()}  # four at most
+            if ops:
+                keys = [c for c in folded(mine, s).columns if c.startswith("__tg_k_")]
+                touched = None if "truncate" in ops else folded(mine, s).select(*[F.col(c).alias(c.removeprefix("__tg_k_")) for c in keys])
+                store.put(tx, s.resource, lambda old, mine=mine, s=s, ops=ops: mirrored(old, mine, s, "truncate" in ops), touched)
+        tx.watermarks[slot] = int(top)
+        return int(top)
+
+    kept: list[DataFrame] = []
     try:
-        before = store.watermark(slot, database)
-        fresh = changes.where(F.col("commit_lsn") > before) if before is not None else changes
-        fresh = fresh.persist()
-        try:
-            top = fresh.agg(F.max("commit_lsn")).first()[0]
-            if top is None:
-                return before
-            check(fresh, by)
-            with store.transaction(database) as tx:
-                for (schema, table), s in by.items():
-                    mine = fresh.where((F.coalesce("schema", F.lit("public")) == schema) & (F.col("table") == table))
-                    ops = {x["op"] for x in mine.select("op").distinct().collect()}  # four at most
-                    if ops:
-                        tx.staged[s.resource.label] = mirrored(store.scan(s.resource, database), mine, s, "truncate" in ops)
-                tx.watermarks[slot] = int(top)
-        finally:
-            fresh.unpersist()
+        top = store.retried(database, work)
         telemetry.emit("cdc", operation="apply", outcome="ok")
-        return int(top)
+        return top
     except GraphError:
         raise
     except Exception:  # noqa: BLE001
         raise CdcError("sink_failed") from None
+    finally:
+        for df in kept:
+            df.unpersist()
 
 
 def start(store: Store, changes: DataFrame, specs: list[MirrorSpec], slot: str, checkpoint: str, *, available_now: bool = False) -> StreamingQuery:
@@ -164,16 +176,55 @@ def start(store: Store, changes: DataFrame, specs: list[MirrorSpec], slot: str,
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def snapshot(store: Store, tables: dict[str, DataFrame], specs: list[MirrorSpec], slot: str, lsn: int, database: str | None = None) -> None:
-    """Bootstrap: each mirror is replaced by its table's rows, and the watermark appears with them."""
-    from tenantgraph.sources.scan import decoded
+def check_rows(rows: DataFrame, spec: MirrorSpec) -> None:
+    """What check() asks of changes, of a table's rows: no sensitive column, a key and a tenant everywhere, and each key once."""
+    r = spec.resource
+    for a in r.attributes:
+        if a.sensitive and a.name not in spec.skip and not a.skip and spec.source_of(a.name) in rows.columns:
+            raise CdcError("sensitive_column", field=a.name)
+    keys = r.pk + [r.discriminator] * (r.tenancy == "attribute" and r.discriminator not in r.pk)
+    if missing := [k for k in keys if spec.source_of(k) not in rows.columns]:
+        raise CdcError("tenant_required" if missing == [r.discriminator] else "key_required")
+    of = lambda k: F.col(f"`{spec.source_of(k)}`")
+    faults = F.when(_any([of(k).isNull() for k in r.pk]), "key_required")
+    if r.tenancy == "attribute":
+        tenant = of(r.discriminator).cast("string")
+        faults = faults.when(tenant.isNull() | (F.trim(tenant) == "") | (tenant == "false"), "tenant_required")
+    if bad := rows.select(faults.alias("fault")).where("fault is not null").limit(1).collect():
+        raise CdcError(bad[0]["fault"])
+    if not rows.groupBy(*[of(k) for k in keys]).count().where("count > 1").isEmpty():
+        raise CdcError("repeated_key")
+
 
-    with store.transaction(database) as tx:
-        for s in specs:
-            rows = tables[s.table]
-            tx.staged[s.resource.label] = decoded(rows.select(*[F.col(f"`{s.source_of(c)}`").alias(c) for c in s.resource.stored if s.source_of(c) in rows.columns]), s.resource)
+def snapshot(store: Store, tables: dict[str | tuple[str, str], DataFrame], specs: list[MirrorSpec], slot: str, lsn: int, database: str | None = None) -> None:
+    """Bootstrap: each mirror is replaced by its table's rows, checked as changes are, and the watermark appears with them. tables: by
+    (schema, table), or by the table's name alone where no other schema has it."""
+    by = index(specs)
+    names = [t for _, t in by]
+
+    def work(tx: Transaction) -> None:
+        for (schema, table), s in by.items():
+            rows = tables.get((schema, table))
+            if rows is None and names.count(table) == 1:
+                rows = tables.get(table)
+            if rows is None:
+                raise CdcError("missing_table", field=s.resource.label)
+            check_rows(rows, s)
+            own = [F.col(f"`{s.source_of(c)}`").alias(c) for c in s.resource.stored if s.source_of(c) in rows.columns and c not in s.skip]
+            store.put(tx, s.resource, lambda old, rows=rows, own=own, s=s: decoded(rows.select(*own), s.resource))
         tx.watermarks[slot] = lsn
 
+    try:
+        store.retried(database, work)
+    except GraphError:
+        raise
+    except Exception:  # noqa: BLE001
+        raise CdcError("sink_failed") from None
+
 
-def start_mode(store: Store, slot: str) -> str:
-    return "snapshot" if store.watermark(slot) is None else "resume"
+def start_mode(store: Store, slot: str, database: str | None = None) -> str:
+    """snapshot where there is no watermark, else resume. A watermark that can't be read refuses: a snapshot would undo what is there."""
+    try:
+        return "snapshot" if store.watermark(slot, database) is None else "resume"
+    except Exception:  # noqa: BLE001
+        raise CdcError("watermark_unreadable") from None
