@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,9 @@ from tenantgraph.operators.vector import Arm, fulltext, hybrid, knn, sparse
 from tenantgraph.plans.query import Query
 from tenantgraph.resource import Attribute as A
 from tenantgraph.resource import Edge, Policy, Relationship, Resource, SparseIndex, VectorIndex
-from tenantgraph.sources.scan import ParquetSource, decoded
+from tenantgraph.scratch import shared_dir
+from tenantgraph.sources.scan import MemorySource, ParquetSource, decoded
+from tenantgraph.sources.store import Store
 from tenantgraph.streaming import cdc
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +52,8 @@ CUSTOMER = Resource(
         "grade": if_(ref("bal") > 5000, "high", if_(ref("bal") > 0, "low", "debt")), "some": if_(ref("bal") > 5000, ref("c_name")), "missing": ref("bal").is_nil(),
         "low_name": call("string_downcase", ref("c_name")), "name_length": call("string_length", call("string_trim", ref("c_name"))), "rounded": call("round", ref("c_acctbal")),
         "starts": ref("c_name").starts_with("Customer#0000001"), "has_nine": ref("c_name").contains("9"), "per_nation": ref("c_acctbal") / ref("c_nationkey"),
+        "rich_or_far": (ref("bal") > 5000) | ~(ref("c_nationkey") < 10), "rich_and_far": (ref("bal") > 5000) & (ref("c_nationkey") >= 10), "nation_text": call("type", ref("c_nationkey"), "string"),
+        "shout": lambda df: F.upper(F.col("c_name")),
     },
 )
 NATION = Resource("nation", (A("n_nationkey", "integer", pk=True), A("n_name"), A("n_regionkey", "integer")), relationships=(Relationship("region", "belongs_to", "region", "n_regionkey", "r_regionkey"),))
@@ -144,6 +149,20 @@ cust_calc("expr_round", {"rounded": "round(c_acctbal)"})
 cust_calc("expr_match_value", {"starts": "starts_with(c_name, 'Customer#0000001')", "has_nine": "contains(c_name, '9')"})
 
 
+cust_calc("expr_bool_value", {"rich_or_far": "bal > 5000 OR NOT c_nationkey < 10", "rich_and_far": "bal > 5000 AND c_nationkey >= 10"})
+cust_calc("expr_type", {"nation_text": "CAST(c_nationkey AS VARCHAR)"})
+cust_calc("calc_module", {"shout": "upper(c_name)"})
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_mktsegment = 'MACHINERY' AND c_nationkey > 20")
+def tenant_context(spark, d):
+    """A storage root for each tenant: the rows of the others aren't there to be read."""
+    whole = VIEWS["customer"](spark, d)
+    r = Resource("customer", CUSTOMER.attributes, "context")
+    source = MemorySource({(f"t_{t}", "customer"): whole.where(F.col("c_mktsegment") == t) for t in ("BUILDING", "MACHINERY")})
+    return Query(r, source, "MACHINERY").filter(ref("c_nationkey") > 20).to_df().select("c_custkey", "c_name")
+
+
 @query("SELECT vec_id, CAST(len(embedding) AS INTEGER) AS n FROM embeddings WHERE len(list_filter(embedding, lambda x: x::DOUBLE > 0.1)) > 10")
 def expr_list_length(spark, d):
     r = Resource("embeddings", VECTOR.attributes, calculations={"n": call("length", ref("embedding"))})
@@ -292,6 +311,17 @@ def combine_outer_distinct(spark, d):
     return q.combine("base", a).combine("union", b).distinct("c_nationkey").distinct_sort("c_acctbal").to_df().select("c_custkey", "c_nationkey")
 
 
+_KC = f"SELECT c_custkey, c_acctbal FROM ({_C.replace('c_custkey', 'c_custkey, c_acctbal')} ORDER BY c_acctbal DESC, c_custkey LIMIT 30) UNION SELECT c_custkey, c_acctbal FROM customer WHERE {_B} AND c_nationkey = 2"
+
+
+@query(f"SELECT c_custkey, c_acctbal FROM ({_KC}) WHERE c_acctbal > 3000 OR c_acctbal = 3000 AND c_custkey > 10 ORDER BY c_acctbal, c_custkey LIMIT 12")
+def keyset_combination(spark, d):
+    """The cursor moves over the whole, not over a branch before its limit."""
+    q, _, b, c = _branches(spark, d)
+    both = q.combine("base", b.sort(("c_acctbal", "desc")).limit(30)).combine("union", c).sort("c_acctbal")
+    return page(both, 12, after={"c_acctbal": 3000.0, "c_custkey": 10}).select("c_custkey", "c_acctbal")
+
+
 # Aggregates
 
 
@@ -346,6 +376,13 @@ def rel_has_many(spark, d):
     return load(building(spark, d), "orders", on(ORDERS, spark, d)).select("c_custkey", F.array_join(F.transform("orders", lambda o: o["o_orderkey"].cast("string")), ",").alias("orders"))
 
 
+@query(f"SELECT c_custkey, coalesce(string_agg(o_orderkey, ',' ORDER BY o_totalprice DESC, o_orderkey), '') AS orders FROM {CUST} LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders) ON o_custkey = c_custkey AND rn BETWEEN 2 AND 4 WHERE {_B} GROUP BY c_custkey")
+def rel_has_many_top(spark, d):
+    """A limit and an offset of the destination hold for each parent."""
+    out = load(building(spark, d), "orders", on(ORDERS, spark, d).sort(("o_totalprice", "desc")).offset(1).limit(3))
+    return out.select("c_custkey", F.array_join(F.transform("orders", lambda o: o["o_orderkey"].cast("string")), ",").alias("orders"))
+
+
 @query(f"SELECT c_custkey, arg_max(o_orderkey, o_totalprice) AS o FROM {CUST} LEFT JOIN orders ON o_custkey = c_custkey WHERE {_B} GROUP BY c_custkey")
 def rel_has_one(spark, d):
     return load(building(spark, d), "first_order", on(ORDERS, spark, d)).select("c_custkey", F.col("first_order.o_orderkey").alias("o"))
@@ -499,6 +536,34 @@ def traverse_agg(spark, d):
     return out.select("c_custkey", "n", F.round("s", 4).alias("s"))
 
 
+def homes(spark: SparkSession, d: str) -> DataFrame:
+    """Edges from customers to their nations, and from nations to their regions: keys of three labels that overlap, ids of text."""
+    c = spark.read.parquet(f"{d}/customer.parquet").select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("edge_id"), F.lit("customer").alias("src_label"), F.col("c_custkey").cast("long").alias("src"), F.lit("nation").alias("dst_label"), F.col("c_nationkey").cast("long").alias("dst"))
+    n = spark.read.parquet(f"{d}/nation.parquet").select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("edge_id"), F.lit("nation").alias("src_label"), F.col("n_nationkey").cast("long").alias("src"), F.lit("region").alias("dst_label"), F.col("n_regionkey").cast("long").alias("dst"))
+    return c.unionByName(n)
+
+
+@query("SELECT c_custkey AS source_id, n_regionkey AS node_id FROM customer JOIN nation ON n_nationkey = c_nationkey")
+def traverse_labels(spark, d):
+    q, dest = on(FREE, spark, d), on(REGION, spark, d)
+    return traverse(q, Traversal("IN", 2), homes(spark, d), dest, through=(on(NATION, spark, d),)).select("source_id", F.col("r_regionkey").cast("int").alias("node_id"))
+
+
+@query("SELECT n_nationkey AS source_id, x.n_nationkey AS node_id FROM nation JOIN nation x USING (n_regionkey) WHERE nation.n_nationkey <> x.n_nationkey".replace("SELECT n_nationkey", "SELECT nation.n_nationkey"))
+def traverse_labels_both(spark, d):
+    """Nations of the same region, over the region: never back along the same edge."""
+    q = on(NATION, spark, d)
+    out = traverse(q, Traversal("IN", 2, "both"), homes(spark, d), q, through=(on(REGION, spark, d),))
+    return out.select(F.col("source_id").cast("int").alias("source_id"), F.col("n_nationkey").cast("int").alias("node_id"))
+
+
+@query("SELECT n_nationkey AS source_id, r_regionkey AS node_id FROM nation JOIN region ON r_regionkey = n_regionkey")
+def traverse_labels_direct(spark, d):
+    """Two labels, nothing between them."""
+    q, dest = on(NATION, spark, d), on(REGION, spark, d)
+    return traverse(q, Traversal("IN", 1), homes(spark, d), dest).select(F.col("source_id").cast("int").alias("source_id"), F.col("r_regionkey").cast("int").alias("node_id"))
+
+
 # Vector search
 
 _QV = [round(((i * 37) % 64 - 32) / 64, 6) for i in range(64)]
@@ -550,6 +615,28 @@ def fulltext_bm25(spark, d):
     return _bm25(spark, d).select("doc_id", F.round("score", 6).alias("score"))
 
 
+_OWNED = Resource("embeddings", VECTOR.attributes, "attribute", "label", vector_indexes=VECTOR.vector_indexes, sparse_indexes=VECTOR.sparse_indexes, policy=Policy(row=lambda actor: F.col("vec_id") % 2 == actor, fields={"tokens": lambda actor: actor > 1}))
+_OPEN = Resource("embeddings", VECTOR.attributes, "attribute", "label", sparse_indexes=VECTOR.sparse_indexes, policy=Policy(row=lambda actor: F.col("vec_id") % 2 == actor, fields={"embedding": lambda actor: actor > 1}))
+
+
+@query(f"SELECT vec_id, round(list_cosine_distance({_E}, {_QS}), 6) AS distance, TRUE AS tokens_hidden, 64 AS n FROM embeddings WHERE label = 3 AND vec_id % 2 = 1 ORDER BY list_cosine_distance({_E}, {_QS}), vec_id LIMIT 10")
+def knn_tenant_policy(spark, d):
+    """Within a tenant, under row and field policy: the hidden field is null in the result as in any read."""
+    out = knn(on(_OWNED, spark, d, 3, actor=1), "embedding", _QV, 10)
+    return out.select("vec_id", F.round("distance", 6).alias("distance"), F.col("tokens").isNull().alias("tokens_hidden"), F.size("embedding").alias("n"))
+
+
+@query(f"SELECT vec_id, round({_HITS}, 6) AS score, TRUE AS embedding_hidden FROM embeddings WHERE ({_ANY}) AND label = 3 AND vec_id % 2 = 0 ORDER BY {_HITS} DESC, vec_id LIMIT 10")
+def sparse_tenant_policy(spark, d):
+    return sparse(on(_OPEN, spark, d, 3, actor=0), "terms", _T, _TW, 10).select("vec_id", F.round("score", 6).alias("score"), F.col("embedding").isNull().alias("embedding_hidden"))
+
+
+@query(_BM.replace("lang = 'en'", "lang = 'en' AND doc_id % 2 = 1") + "SELECT doc_id, round(score, 6) AS score, TRUE AS source_hidden FROM r ORDER BY r.score DESC, doc_id LIMIT 10")
+def fulltext_policy(spark, d):
+    r = Resource("documents", DOCUMENT.attributes, "attribute", "lang", policy=Policy(row=lambda actor: F.col("doc_id") % 2 == actor, fields={"source": lambda actor: False}))
+    return fulltext(on(r, spark, d, "en", actor=1), "text", "Nation stes THOU", 10).select("doc_id", F.round("score", 6).alias("score"), F.col("source").isNull().alias("source_hidden"))
+
+
 _ARMS = f"WITH a AS (SELECT vec_id, -list_cosine_distance({_E}, {_QS}) AS s FROM embeddings ORDER BY s DESC, vec_id LIMIT 20), b AS (SELECT vec_id, {_HITS} AS s FROM embeddings WHERE {_ANY} ORDER BY s DESC, vec_id LIMIT 20)"
 _FUSED = {
     "rrf": "1.0::DOUBLE / (60 + row_number() OVER (ORDER BY s DESC, vec_id))",
@@ -600,12 +687,57 @@ def write_bulk_create(spark, d):
 
 @query(f"WITH i AS {_IN} SELECT c_custkey, CASE WHEN {_HIT} THEN 'seen' ELSE c_name END AS c_name, c_nationkey, c_mktsegment FROM customer c UNION ALL SELECT {_COLS} FROM i WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = i.c_custkey AND c.c_mktsegment = 'BUILDING')")
 def write_upsert(spark, d):
-    return W.upsert(WRITTEN, _old(spark, d), _incoming(spark, d), tenant="BUILDING", fields=["c_name"], guard=False).select(*_COLS.split(", "))
+    return W.upsert(WRITTEN, _old(spark, d), _incoming(spark, d), tenant="BUILDING", fields=["c_name"]).select(*_COLS.split(", "))
 
 
 @query(f"WITH i AS {_IN} SELECT c_custkey, CASE WHEN {_HIT} AND c_acctbal > 0 THEN 'seen' ELSE c_name END AS c_name, c_nationkey, c_mktsegment FROM customer c UNION ALL SELECT {_COLS} FROM i WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = i.c_custkey AND c.c_mktsegment = 'BUILDING')")
 def write_upsert_condition(spark, d):
-    return W.upsert(WRITTEN, _old(spark, d), _incoming(spark, d), tenant="BUILDING", fields=["c_name"], where=ref("c_acctbal") > 0, guard=False).select(*_COLS.split(", "))
+    return W.upsert(WRITTEN, _old(spark, d), _incoming(spark, d), tenant="BUILDING", fields=["c_name"], where=ref("c_acctbal") > 0).select(*_COLS.split(", "))
+
+
+_TWICE = "(SELECT c_custkey + 20000000 * (c_custkey % 2) AS k, c_custkey, c_acctbal FROM customer WHERE c_custkey % 5 = 0)"
+
+
+def _twice(spark, d):
+    """Each of these customers in three versions, half of them not there yet."""
+    c = _old(spark, d).where("c_custkey % 5 = 0").withColumn("c_custkey", F.col("c_custkey") + 20_000_000 * (F.col("c_custkey") % 2))
+    versions = F.explode(F.array(*[F.lit(i) for i in range(3)]))
+    return c.withColumn("n", versions).withColumns({"c_name": F.concat(F.lit("v"), F.col("n").cast("string")), "c_nationkey": F.col("n").cast("long")})
+
+
+@query(f"SELECT c_custkey, CASE WHEN {_B} AND c_custkey % 10 = 0 THEN 'v2' ELSE c_name END AS c_name, c_nationkey FROM customer UNION ALL SELECT k, 'v2', 0 FROM {_TWICE} WHERE k <> c_custkey UNION ALL SELECT k, 'v2', 0 FROM {_TWICE} JOIN customer USING (c_custkey) WHERE k = c_custkey AND c_mktsegment <> 'BUILDING'")
+def write_upsert_repeated(spark, d):
+    """Rows of one identity in turn: the first creates, with its own nation, and the later ones set the name alone."""
+    out = W.upsert(WRITTEN, _old(spark, d), _twice(spark, d), tenant="BUILDING", fields=["c_name"], order="n")
+    return out.select("c_custkey", "c_name", F.col("c_nationkey").cast("int").alias("c_nationkey"))
+
+
+@query(f"SELECT c_custkey, CASE WHEN {_B} AND c_custkey % 10 = 0 THEN 'v1' ELSE c_name END AS c_name FROM customer UNION ALL SELECT k, 'v1' FROM {_TWICE} WHERE k <> c_custkey UNION ALL SELECT k, 'v1' FROM {_TWICE} JOIN customer USING (c_custkey) WHERE k = c_custkey AND c_mktsegment <> 'BUILDING'")
+def write_upsert_condition_repeated(spark, d):
+    """The condition looks at what the batch itself has made: after v1 no further version is taken."""
+    return W.upsert(WRITTEN, _old(spark, d), _twice(spark, d), tenant="BUILDING", fields=["c_name"], where=~(ref("c_name") == "v1"), order="n").select("c_custkey", "c_name")
+
+
+def _store(spark: SparkSession) -> Store:
+    return Store(spark, f"{shared_dir(spark)}/catalog-{uuid.uuid4().hex}", buckets=8)
+
+
+@query(SQL["write_upsert"])
+def store_upsert(spark, d):
+    """Committed to a store and read back; the second commit rewrites the touched buckets alone."""
+    store, new = _store(spark), _incoming(spark, d)
+    store.write(WRITTEN, None, lambda rows: rows.unionByName(_old(spark, d)))
+    store.write(WRITTEN, None, lambda rows: W.upsert(WRITTEN, rows, new, tenant="BUILDING", fields=["c_name"]), keys=W.scoped_rows(WRITTEN, new, "BUILDING"))
+    return store.scan(WRITTEN, None).select(*_COLS.split(", "))
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey % 10 <> 3")
+def store_destroy(spark, d):
+    store = _store(spark)
+    store.write(WRITTEN, None, lambda rows: rows.unionByName(_old(spark, d)))
+    gone = _old(spark, d).where("c_custkey % 10 = 3")
+    store.write(WRITTEN, None, lambda rows: W.destroy_query(rows, F.col("c_custkey") % 10 == 3)[0], keys=gone)
+    return store.scan(WRITTEN, None).select("c_custkey")
 
 
 @query(f"SELECT c_custkey, CASE WHEN {_B} AND c_nationkey > 10 THEN c_nationkey + 100 ELSE c_nationkey END AS c_nationkey, CASE WHEN {_B} AND c_nationkey > 10 THEN 'x' ELSE c_name END AS c_name FROM customer")
@@ -629,23 +761,27 @@ def _edge_rows(spark, d):
     return VIEWS["customer"](spark, d).where("c_custkey > 0").select(F.lit("KNOWS").alias("label"), F.col("parent").alias("src"), F.col("c_custkey").alias("dst"), F.lit("t").alias("tenant"), F.col("c_nationkey").cast("long").alias("since"))
 
 
+def _people(spark, d):
+    return VIEWS["customer"](spark, d).select(F.col("c_custkey").alias("id"), F.lit("t").alias("tenant"))
+
+
 @query("SELECT c_custkey // 3 AS src, c_custkey AS dst, CASE WHEN c_custkey % 2 = 0 THEN 1900 ELSE c_nationkey END AS since FROM customer WHERE c_custkey > 0")
 def edge_merge(spark, d):
     new = _edge_rows(spark, d).where("dst % 2 = 0").withColumn("since", F.lit(1900).cast("long"))
-    return W.create_edges(_edge_rows(spark, d), new, spark.range(0).select("id", F.lit("t").alias("tenant")), multiple=False, guard=False).select("src", "dst", F.col("since").cast("int").alias("since"))
+    return W.create_edges(_edge_rows(spark, d), new, _people(spark, d), multiple=False).select("src", "dst", F.col("since").cast("int").alias("since"))
 
 
 @query("SELECT c_custkey // 3 AS src, c_custkey AS dst FROM customer WHERE c_custkey > 0 UNION ALL SELECT c_custkey // 3, c_custkey FROM customer WHERE c_custkey > 0 AND c_custkey % 2 = 0")
 def edge_parallel(spark, d):
     e = _edge_rows(spark, d)
-    return W.create_edges(e, e.where("dst % 2 = 0"), spark.range(0).select("id", F.lit("t").alias("tenant")), multiple=True, guard=False).select("src", "dst")
+    return W.create_edges(e, e.where("dst % 2 = 0"), _people(spark, d), multiple=True).select("src", "dst")
 
 
 @query("SELECT c_custkey // 3 AS src, c_custkey AS dst FROM customer WHERE c_custkey > 0 AND c_custkey % 2 <> 0")
 def edge_destroy(spark, d):
     e = _edge_rows(spark, d)
     gone = e.where("dst % 2 = 0").select("label", F.col("dst").alias("src"), F.col("src").alias("dst"), "tenant")
-    return W.destroy_edges(e, gone, direction="both", guard=False).select("src", "dst")
+    return W.destroy_edges(e, gone, direction="both").select("src", "dst")
 
 
 # Change streams: events fold into a mirror of users
@@ -695,3 +831,22 @@ def cdc_pk_move(spark, d):
     record = lambda i: F.create_map(F.lit("id"), i, F.lit("org"), F.lit("a"), F.lit("note"), F.col("event_id").cast("string"))
     changes = e.select(F.col("event_id").alias("commit_lsn"), F.lit(0).cast("long").alias("seq"), F.lit("update").alias("op"), F.lit("public").alias("schema"), F.lit("users").alias("table"), record(to).alias("record"), F.when(moved, record(F.col("user_id").cast("string"))).alias("old_record"))
     return cdc.mirrored(_empty(spark), changes, SPEC).select("id", "note")
+
+
+@query(_LAST.format(w="TRUE"))
+def cdc_store(spark, d):
+    """Through the store, in batches of which one comes twice and one overlaps what is there."""
+    store, c = _store(spark), _changes(spark, d)
+    for low, high in ((0, 3000), (0, 3000), (2000, 6000), (6000, 1 << 40)):
+        cdc.apply(store, c.where(f"commit_lsn >= {low} AND commit_lsn < {high}"), [SPEC], "users")
+    return store.scan(MIRROR, None).select("id", "note")
+
+
+@query("SELECT user_id AS id, CAST(max(event_id) AS VARCHAR) AS note FROM events GROUP BY user_id")
+def cdc_snapshot(spark, d):
+    """The bootstrap from a table, and then what came after it."""
+    store, e = _store(spark), spark.read.parquet(f"{d}/events.parquet")
+    before = e.where("event_id < 5000").groupBy(F.col("user_id").alias("id")).agg(F.max("event_id").cast("string").alias("note")).withColumn("org", F.lit("a"))
+    cdc.snapshot(store, {"users": before}, [SPEC], "users", 4999)
+    cdc.apply(store, _changes(spark, d).withColumn("op", F.lit("update")), [SPEC], "users")
+    return store.scan(MIRROR, None).select("id", "note")
