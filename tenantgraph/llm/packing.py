@@ -1,18 +1,24 @@
 """Best-fit packing of token pieces into sequences by a configuration linear program.
 
 A configuration is a multiset of lengths that fit in one sequence. The program covers the histogram of lengths with as
-few configurations as it can. It is solved by multiplicative weights: each length has a dual price, at first its share of
-the sequence; a knapsack dynamic program finds the configuration of the highest price; lengths that fall behind in
-coverage rise in price exponentially. The fractional solution is rounded down to whole and full sequences, what remains is solved again, and the last
-remainder goes by best fit, longest first.
+few configurations as it can. It is solved by multiplicative weights: each length has a dual price, its size times an
+exponential of how far its coverage is behind; a knapsack dynamic program over the prices finds, for every length at once, the
+configuration of the highest price that holds it; coverage rises in steps, which get finer until the measured duality gap is
+at most `gap`. Any prices bound the optimum from below (their total over the highest price of a configuration), and so do the
+sizes; what covers everything bounds it from above.
+
+The fractional solution is rounded: whole multiples first, then the configurations with the largest fractions as far as
+pieces are left for them. What remains is a histogram again and is solved again, until a solution places few pieces or none;
+that last remainder goes by best fit, longest first.
 
 All of that works on the histogram (at most `capacity` rows, whatever the corpus) on the driver. Pieces get their places
 in the cluster: each piece's rank among those of its length comes from counts by (length, salt), so a length that
 a third of all pieces share is dealt over many tasks; a rank falls in a range of sequences of one configuration, and the
 table of ranges is bounded by the number of configurations times the lengths in one.
 
-Defined results: a null or empty text is one piece that holds the separator alone. Rows that repeat are packed each for
-itself. Only texts longer than a sequence are cut: into whole sequences, and the first piece takes the rest.
+Defined results: a null or empty text is one piece that holds the separator alone. Rows that repeat, share an id or have none
+are packed each for itself. Only texts longer than a sequence are cut: into whole sequences, and the first piece takes the
+rest. An empty table gives none. Other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -26,52 +32,104 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenantgraph.llm.shared import slices, stash
+from tenantgraph.llm.shared import named, slices, stash
 from tenantgraph.llm.tokens import token_bytes
 
 Groups = list[tuple[tuple[int, ...], int]]
 
 
-def price(values: np.ndarray, capacity: int) -> tuple[int, ...]:
-    """Knapsack: the multiset of lengths of the highest total value that fits. values[s - 1]: of length s, -inf if absent."""
-    best, pick = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
-    for c in range(1, capacity + 1):
-        total = values[:c] + best[c - 1 :: -1]
-        k = int(total.argmax())
-        if total[k] > best[c - 1] + 1e-12:
-            best[c], pick[c] = total[k], k + 1
-        else:
-            best[c] = best[c - 1]
-    out, c = [], capacity
-    while c > 0:
-        if pick[c]:
-            out.append(int(pick[c]))
-            c -= int(pick[c])
-        else:
-            c -= 1
-    return tuple(sorted(out, reverse=True))
-
-
-def fractional(counts: np.ndarray, capacity: int, rounds: int, step: float, rate: float) -> dict[tuple[int, ...], float]:
-    """Multiplicative weights over the lengths still uncovered. counts[s - 1]: pieces of length s."""
+class Prices:
+    """The knapsack table of prices: values[s - 1] is that of length s, -inf for one that may not be used."""
+
+    def __init__(self, values: np.ndarray):
+        capacity = len(values)
+        self.best, self.pick = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
+        usable = np.flatnonzero(values > -np.inf) + 1
+        few = 4 * len(usable) < capacity
+        fit = np.searchsorted(usable, np.arange(capacity + 1), side="right").tolist()
+        worth = values[usable - 1]
+        for c in range(1, capacity + 1):
+            self.best[c] = self.best[c - 1]
+            if n := fit[c]:
+                total = worth[:n] + self.best[c - usable[:n]] if few else values[:c] + self.best[c - 1 :: -1]
+                k = int(total.argmax())
+                if total[k] > self.best[c] + 1e-12:
+                    self.best[c], self.pick[c] = total[k], usable[k] if few else k + 1
+
+    def multiset(self, room: int) -> list[int]:
+        """The lengths of the highest total price that fit."""
+        out = []
+        while room > 0:
+            if self.pick[room]:
+                out.append(int(self.pick[room]))
+                room -= out[-1]
+            else:
+                room -= 1
+        return out
+
+
+def bound_by(counts: np.ndarray, value: np.ndarray, prices: Prices) -> float:
+    """Prices that no configuration's total exceeds, once divided by the highest, bound the number of sequences from below."""
+    return float((counts * value).sum()) / max(prices.best[len(counts)], 1e-9)
+
+
+def bounds(counts: np.ndarray) -> float:
+    """The best of the bounds by sizes, by how many of a length fit, and by sizes with all above half as whole."""
+    capacity = len(counts)
+    length = np.arange(1, capacity + 1)
+    found = float((counts * length).sum()) / capacity
+    for value in (1 / (capacity // length), np.where(2 * length > capacity, 1, length / capacity)):
+        found = max(found, bound_by(counts, value, Prices(np.where(counts > 0, value, -np.inf))))
+    return found
+
+
+def cover(counts: np.ndarray, step: float, rate: float = 4.0) -> tuple[dict[tuple[int, ...], float], float]:
+    """(configuration -> amount, a lower bound): amounts that cover counts[s - 1] pieces of each length s, in rounds that raise all
+    coverage by a step. A round ends when all are there, or when a new table of prices brings nothing; then what it leaves has its turn in the next, and
+    what the last one leaves is covered by each length alone."""
+    capacity = len(counts)
+    present = counts > 0
     size = np.arange(1, capacity + 1) / capacity
-    cover = np.zeros(capacity)
+    bound = 0.0
+    done = np.zeros(capacity)  # coverage, of counts
     x: dict[tuple[int, ...], float] = defaultdict(float)
-    present = counts > 0
-    for _ in range(rounds):
-        open_ = present & (cover < 1 - 1e-9)
-        if not open_.any():
-            break
-        behind = np.average(cover[present], weights=size[present] * counts[present]) - cover
-        config = price(np.where(open_, size * np.exp(rate * behind), -np.inf), capacity)
-        if not config:
+    level = 0.0
+    while level < 1 - 1e-9:
+        level = min(1.0, level + step)
+        moved = 1.0
+        while moved > 1e-6 and (behind := present & (done < level - 1e-9)).any():
+            moved = 0.0
+            value = np.where(behind, size * np.exp(rate * (level - done)), 0)
+            prices = Prices(np.where(behind, value, -np.inf))
+            bound = max(bound, bound_by(counts, value, prices))  # the others' prices are zero
+            order = np.flatnonzero(behind)
+            for s in (order[np.argsort(done[order] - size[order], kind="stable")] + 1).tolist():
+                if done[s - 1] >= level - 1e-9:
+                    continue
+                config = tuple(sorted([s, *prices.multiset(capacity - s)], reverse=True))
+                held = Counter(config)
+                amount = min(max(0.0, level - done[r - 1]) * counts[r - 1] / a for r, a in held.items())
+                if amount > 1e-12:
+                    x[config] += amount
+                    moved += amount
+                    for r, a in held.items():
+                        done[r - 1] += a * amount / counts[r - 1]
+    for s in (np.flatnonzero(present & (done < 1 - 1e-6)) + 1).tolist():
+        x[(s,) * (capacity // s)] += (1 - done[s - 1]) * counts[s - 1] / (capacity // s)
+    return x, bound
+
+
+def solve(counts: np.ndarray, gap: float, steps: tuple[float, ...] = (0.5, 0.2, 0.08, 0.03)) -> tuple[dict[tuple[int, ...], float], float]:
+    """(configuration -> amount, duality gap): steps get finer until the gap is small enough, or a finer one brings less than a thousandth."""
+    bound, found, best = bounds(counts), {}, np.inf
+    for step in steps:
+        x, below = cover(counts, step)
+        bound, before = max(bound, below), best
+        if sum(x.values()) < best:
+            found, best = x, sum(x.values())
+        if best <= bound * (1 + gap) or best > 0.999 * before:
             break
-        held = Counter(config)
-        amount = max(step * min(counts[s - 1] / a for s, a in held.items()), min(1.0, min(counts[s - 1] * (1 - cover[s - 1]) / a for s, a in held.items())))
-        x[config] += amount
-        for s, a in held.items():
-            cover[s - 1] += a * amount / counts[s - 1]
-    return x
+    return found, float(best / max(bound, 1e-9) - 1)
 
 
 def best_fit(left: np.ndarray, groups: Groups, capacity: int) -> Groups:
@@ -100,36 +158,46 @@ def best_fit(left: np.ndarray, groups: Groups, capacity: int) -> Groups:
     return [g for held in room.values() for g in held if g[1]]
 
 
-def pack_histogram(histogram: dict[int, int], capacity: int, rounds: int = 250, repeats: int = 2) -> Groups:
-    """length -> pieces to (configuration, number of sequences); every piece is in exactly one."""
-    left = np.zeros(capacity, np.int64)
-    for s, n in histogram.items():
-        left[s - 1] = n
+def used(groups: dict[tuple[int, ...], int], capacity: int) -> np.ndarray:
+    return sum((np.bincount(config, minlength=capacity + 1)[1:] * n for config, n in groups.items()), np.zeros(capacity, np.int64))
+
+
+def program(counts: np.ndarray, gap: float, least_fill: float = 0.998, max_phases: int = 12) -> tuple[dict[tuple[int, ...], int], list[float]]:
+    """(configuration -> number of sequences, the gaps of the solutions): what the rounded solutions place. Sequences with more room
+    than least_fill leaves wait for the next solution, unless they are whole multiples of one whose gap is closed."""
+    capacity = len(counts)
+    left = counts.copy()
     groups: Counter[tuple[int, ...]] = Counter({(capacity,): int(left[-1])} if left[-1] else {})
     left[-1] = 0
-    for attempt in range(repeats):
-        if left.sum() < 2:
+    gaps = []
+    for _ in range(max_phases):
+        before = int(left.sum())
+        if before < 2:
             break
-        x = fractional(left.astype(float), capacity, rounds, 0.5 if attempt == 0 else 1.0, 4.0)
-        for config, amount in sorted(x.items(), key=lambda y: (-sum(y[0]), -y[1], y[0])):
-            held = Counter(config)
-            times = min([int(amount + 1e-6), *(int(left[s - 1]) // a for s, a in held.items())])
-            if times and sum(config) == capacity:  # a sequence with room is left to the next solution
-                groups[config] += times
-                for s, a in held.items():
-                    left[s - 1] -= a * times
-    whole = left + sum((np.bincount(config, minlength=capacity + 1)[1:] * n for config, n in groups.items()), np.zeros(capacity, np.int64))
-    fewest = -(-int((whole * np.arange(1, capacity + 1)).sum()) // capacity)
-    packed: Groups = []
-    for share in (1.0, 0.75, 0.5):  # best fit may need some of the rounded sequences' short pieces to close its own
-        kept = {config: n if config == (capacity,) else int(n * share) for config, n in groups.items()}
-        rest = whole - sum((np.bincount(config, minlength=capacity + 1)[1:] * n for config, n in kept.items()), np.zeros(capacity, np.int64))
-        tried = best_fit(rest, [(config, n) for config, n in kept.items() if n], capacity)
-        if not packed or sum(n for _, n in tried) < sum(n for _, n in packed):
-            packed = tried
-        if sum(n for _, n in packed) <= fewest:
+        x, own = solve(left.astype(float), gap) if not gaps else solve(left.astype(float), gap, (0.5,))  # a remainder is small and coarse
+        gaps.append(own)
+        for whole in (True, False):
+            for config, amount in sorted(x.items(), key=lambda y: (-y[0][0], -sum(y[0]), -(y[1] % 1), y[0]) if not whole else (-y[1], y[0])):
+                if sum(config) < least_fill * capacity and not (whole and own <= gap):
+                    continue
+                held = Counter(config)
+                times = min([int(amount + 1e-6) if whole else 1, *(int(left[s - 1]) // a for s, a in held.items())])
+                if times > 0:
+                    groups[config] += times
+                    for s, a in held.items():
+                        left[s - 1] -= a * times
+        if before - int(left.sum()) < 0.02 * before:
             break
-    return packed
+    return groups, gaps
+
+
+def pack_histogram(histogram: dict[int, int], capacity: int, gap: float = 0.01) -> Groups:
+    """length -> pieces to (configuration, number of sequences); every piece is in exactly one."""
+    counts = np.zeros(capacity, np.int64)
+    for s, n in histogram.items():
+        counts[s - 1] = n
+    groups, _ = program(counts, gap)
+    return best_fit(counts - used(groups, capacity), list(groups.items()), capacity)
 
 
 def ranges(groups: Groups) -> dict[str, np.ndarray]:
@@ -148,7 +216,7 @@ def ranges(groups: Groups) -> dict[str, np.ndarray]:
 
 def pieces(docs: DataFrame, *, id_col: str, text_col: str, capacity: int, separator: int = 0, tokenizers: str | None = None, with_ids: bool = False) -> DataFrame:
     """(id, piece, start, length, ids_crc32[, ids]): each text's ids and the separator, cut to at most capacity."""
-    read = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    read = docs.select(named(id_col).alias("id"), F.coalesce(named(text_col), F.lit("")).alias("text"))
     end = np.array([separator], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

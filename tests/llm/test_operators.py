@@ -16,7 +16,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tenantgraph.llm import packing, pii, queries, simhash, token_scan, topk_search
+from tenantgraph.llm import packing, pii, queries, shared, simhash, token_scan, topk_search
 from tenantgraph.llm.chat_template import Escaper, Template, TemplateError, formatter
 from tenantgraph.llm.line_dedup import drop_repeated_lines
 from tenantgraph.llm.mixing import mix_sources, mixed
@@ -105,13 +105,48 @@ def test_packing(spark, docs, none):
     assert packing.pack(docs).count() == len(out) + 2  # a repeated row and one without id are packed as well
 
 
+def check_packed(histogram, capacity, most=1.01):
+    """Every piece once, no sequence too long, and few sequences: against the program's bound, or best fit's number where that is less tight."""
+    groups = packing.pack_histogram(dict(histogram), capacity)
+    packed = Counter()
+    for config, n in groups:
+        assert sum(config) <= capacity and n > 0
+        for s in config:
+            packed[s] += n
+    assert packed == +Counter(histogram)
+    counts = np.zeros(capacity, np.int64)
+    for s, n in histogram.items():
+        counts[s - 1] = n
+    number = sum(n for _, n in groups)
+    bound = max(packing.bounds(counts.astype(float)), 0)
+    plain = sum(n for _, n in packing.best_fit(counts, [], capacity))
+    assert bound - 1e-6 <= number <= max(most * bound, most * plain) + 2, (number, bound, plain)
+    return number, plain, packing.program(counts, 0.01)
+
+
 def test_packing_of_histograms():
     rng = random.Random(3)
-    for _ in range(4):
-        h = Counter(rng.randint(1, 100) for _ in range(rng.randint(0, 400)))
-        groups = packing.pack_histogram(dict(h), 100, 60)
-        assert Counter(s for config, n in groups for s in config for _ in range(n)) == h and all(sum(c) <= 100 for c, _ in groups)
-        assert sum(n for _, n in groups) <= -(-sum(s * n for s, n in h.items()) // 100) * 1.1 + 2
+    for _ in range(6):
+        check_packed(Counter(rng.randint(1, 100) for _ in range(rng.randint(0, 400))), 100)
+    for histogram in ({}, {100: 7}, {1: 1}, {51: 40}, {1: 10**6}, {34: 999, 33: 1}, {99: 5, 1: 5}):
+        check_packed(histogram, 100)
+    for lengths in (range(34, 45), range(51, 70), range(1, 101)):
+        check_packed(Counter(rng.choice(lengths) for _ in range(900)), 100, 1.02)
+
+
+def test_packing_beats_best_fit_where_that_is_poor():
+    for histogram in ({84: 600, 60: 600, 61: 600}, {103: 600, 52: 1200, 51: 600, 50: 1200}):
+        number, plain, (groups, gaps) = check_packed(histogram, 205)
+        assert number <= 0.97 * plain and gaps[0] <= 0.011
+        assert packing.used(groups, 205).sum() >= 0.9 * sum(histogram.values())
+
+
+def test_packing_places_most_pieces_by_the_program():
+    rng = random.Random(9)
+    for times in (1, 50):
+        histogram = Counter({s: n * times for s, n in Counter(min(200, int(rng.lognormvariate(3.6, 0.9)) + 1) for _ in range(1500)).items()})
+        number, plain, (groups, gaps) = check_packed(histogram, 200)
+        assert number <= plain + 1 and packing.used(groups, 200).sum() >= 0.9 * sum(histogram.values()) and 0 <= gaps[0] <= 0.02
 
 
 def test_tokens_are_those_of_the_tokenizer():
@@ -226,18 +261,19 @@ def brute_components(fps, ids):
     return [least[find(i)] for i in range(len(fps))]
 
 
+def fingerprint(t):
+    w = re.findall(WORD, re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    h = [xxhash.xxh64_intdigest(" ".join(w[i : i + 3]).encode(), 42) for i in range(max(1, len(w) - 2))] if w else []
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
 def test_simhash(spark, docs, none):
     known = docs.where("doc_id is not null")
     text = {r.doc_id: r.text for r in known.collect()}
 
-    def fingerprint(t):
-        w = re.findall(WORD, re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
-        h = [xxhash.xxh64_intdigest(" ".join(w[i : i + 3]).encode(), 42) for i in range(max(1, len(w) - 2))] if w else []
-        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
-
     got = {r.doc_id: r for r in simhash.simhash_components(known).collect()}
     ids = sorted(text)
-    assert all(got[i].fp % (1 << 64) == fingerprint(text[i]) for i in ids if i != 5)
+    assert all(got[i].fp % (1 << 64) == fingerprint(text[i]) for i in ids)
     fps = np.array([got[i].fp for i in ids]).view(np.uint64)
     assert [got[i].component_id for i in ids] == brute_components(fps, ids)
     assert simhash.simhash_components(none).count() == 0 and simhash.simhash_components(docs).count() == docs.count()
@@ -539,14 +575,121 @@ def test_pii_takes_time_in_proportion_to_the_text():
         assert time.process_time() - began < 5, unit
 
 
+def brute_quality(rows):
+    for r in rows:
+        w = words(r["text"])
+        failed = len(w) < 10 or 100 * repeated(w, 5) > 20 * len(w)
+        if not failed and 100 * repeated(w, 10) <= 15 * len(w) and not repeated(w, 51):
+            yield r
+
+
+def brute_lines(rows):
+    pages, held = Counter(r["source"] for r in rows), Counter()
+    for r in rows:
+        held.update({(r["source"], x.strip(" ")) for x in r["text"].split("\n") if x.strip(" ")})
+    for r in rows:
+        text = "\n".join(x for x in r["text"].split("\n") if not (held[r["source"], x.strip(" ")] >= 2 and held[r["source"], x.strip(" ")] > 0.1 * pages[r["source"]]))
+        yield r | {"text": text, "n_chars": len(text)}
+
+
+def brute_copies(rows):
+    """How often the mix takes each row; no two rows have id and text in common."""
+    sizes = Counter()
+    for r in rows:
+        sizes[r["source"]] += len(words(r["text"]))
+    order = sorted(sizes, key=lambda x: (x is None, x))
+    weight = {x: (5, 2, 1)[k % 3] for k, x in enumerate(order)}
+    target, rest, total = {}, set(order), sum(sizes.values())
+    while rest:
+        share = {x: (total - sum(target.values())) * weight[x] / sum(weight[y] for y in rest) for x in rest}
+        full = {x for x in rest if share[x] >= 3 * sizes[x]}
+        target |= {x: 3 * sizes[x] for x in full} if full else share
+        rest = rest - full if full else set()
+    out = {}
+    for x in order:
+        own = []
+        for r in rows:
+            if r["source"] == x:
+                n, symbols = len(words(r["text"])), sum(c in "#*$%&|<>" for c in r["text"])
+                u = (int(hashlib.md5(f"{r['doc_id']}:{hashlib.md5(r['text'].encode()).hexdigest()}:0".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+                own.append((-math.log(u) * (1 + 4 * symbols / max(n, 1)), n, r["doc_id"]))
+        epochs = int(target[x] // sizes[x]) if sizes[x] else 0
+        part, before, last = target[x] - epochs * sizes[x], 0, None
+        for key, n, _ in sorted(own):
+            last = key if before + n / 2 <= part else last
+            before += n
+        out |= {i: epochs + (part > 0 and last is not None and key <= last) for key, n, i in own}
+    return out
+
+
 def test_pipeline(spark, docs, tmp_path):
+    """run() against the five stages in plain Python: every piece of every copy, each in its place."""
     import corpus_pipeline
 
-    docs.select("doc_id", "text", "lang", "source", "n_chars").where("doc_id is not null").dropDuplicates(["doc_id"]).write.parquet(str(tmp_path / "documents.parquet"))
+    rng = random.Random(17)
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(300)]
+    more = [(300 + i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(8, 90))) + (" #$" * (i % 3)), "en", f"s{i % 4}", 0) for i in range(60)]
+    more += [(400 + i, more[i][1] + "\nadded", "en", "s1", 0) for i in range(8)] + [(500, more[9][1], "en", None, 0), (501, " ".join(rng.choice(vocabulary) for _ in range(5000)), "en", "s2", 0)]
+    own = docs.select("doc_id", "text", "lang", "source", "n_chars").where("doc_id is not null").dropDuplicates(["doc_id"])
+    own.unionByName(spark.createDataFrame(more, own.schema)).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = [r.asDict() for r in spark.read.parquet(str(tmp_path / "documents.parquet")).collect()]
+    stages = [list(brute_quality(rows))]
+    stages.append(list(brute_lines(stages[-1])))
+    fps = np.array([fingerprint(r["text"]) for r in stages[-1]], np.uint64)
+    roots = brute_components(fps, [r["doc_id"] for r in stages[-1]])
+    stages.append([r for r, root in zip(stages[-1], roots, strict=True) if r["doc_id"] == root])
+    taken = brute_copies(stages[-1])
+    stages.append([r for r in stages[-1] for _ in range(taken[r["doc_id"]])])
+    key = lambda r: str(sorted(r.items(), key=str))
     df = spark.read.parquet(str(tmp_path / "documents.parquet"))
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        before = df
-        df = stage(spark, df, str(tmp_path)).cache()
-        assert df.columns == before.columns and 0 < df.count(), name
-    ids = Counter(r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).where("piece = 0").collect())
-    assert ids == Counter(r.doc_id for r in df.collect())
+    for (name, stage), want in zip(corpus_pipeline.STAGES[:-1], stages, strict=True):
+        before, df = df, stage(spark, df, str(tmp_path)).cache()
+        assert df.columns == before.columns, name
+        assert Counter(key(r.asDict()) for r in df.collect()) == Counter(map(key, want)), name
+    assert 10 < len(stages[2]) < len(stages[1]) < len(rows) and max(taken.values()) > 1
+    encode, pieces = token_bytes(), Counter()
+    for r in stages[-1]:
+        ids = encode.exact.encode(r["text"], add_special_tokens=False).ids + [0]
+        n = len(ids)
+        cuts = [0, *range(n % 2048 or 2048, n + 1, 2048)] if n > 2048 else [0, n]
+        for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            pieces[r["doc_id"], k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())] += 1
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in out) == pieces
+    places = defaultdict(list)
+    for r in out:
+        places[r.sequence_id].append((r.offset, r.length))
+    assert all(a == sum(n for _, n in sorted(x)[:k]) and a + n <= 2048 for x in places.values() for k, (a, n) in enumerate(sorted(x)))
+    assert len(places) <= -(-sum(r.length for r in out) // 2048) + 1
+
+
+def test_written_tables_can_be_released(spark, tmp_path):
+    before = shared.mark(spark)
+    shared.stash(spark.range(3), "a")
+    kept = shared.stash(spark.range(4), "b")
+    assert shared.mark(spark) == before + 2 and kept.inputFiles()
+    shared.release(spark, before, but=1)
+    assert shared.mark(spark) == before + 1 and kept.count() == 4
+    size = spark.conf.get(shared.BATCH_BYTES)
+    with shared.small_batches(spark):
+        assert spark.conf.get(shared.BATCH_BYTES) == str(4 << 20)
+    assert spark.conf.get(shared.BATCH_BYTES) == size
+
+
+def test_chat_format_of_random_conversations(spark, tmp_path):
+    rng = random.Random(31)
+    bits = ["</s>", "<s>", "[INST]", "[/INST]", "\\", "<", "[", "/", "s>", "hi", "é😀", "\n", " ", "<<SYS>>", "{{ x }}", "\u200b"]
+    text = lambda: rng.choice([None, "", "".join(rng.choice(bits) for _ in range(rng.randint(0, 12)))])
+    rows = [(c, t, rng.choice(["user", "assistant", "system", "odd"]), text()) for c in range(40) for t in range(rng.randint(1, 6))] + [(50, 0, "user", "x"), (50, 1, "assistant", "word </s> " * 60_000)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns({"a.b": F.lit(1), "text_": F.lit("t")}).repartition(3).write.parquet(str(tmp_path / "conversations.parquet"))
+    said = "</s>[INST] ok [/INST]"
+    turns = defaultdict(list)
+    for c, _, role, t in [*rows, (-1, 0, "user", said), (-1, 1, "assistant", said)]:
+        turns[c].append((role, t or ""))
+    h = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    want = {c: (len(x), h("".join(f"{r}\n{t}\n" for r, t in x)), sum(len(t) for r, t in x if r == "assistant"), h("".join(t for r, t in x if r == "assistant"))) for c, x in turns.items()}
+    got = queries.op4_chat_format(spark, str(tmp_path)).collect()
+    assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in got} == want and len(got) == len(want)
+    assert all(r.formatted_chars >= sum(len(t) for _, t in turns[r.conv_id]) for r in got)
+    spark.createDataFrame([], "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "none" / "conversations.parquet"))
+    assert [r.conv_id for r in queries.op4_chat_format(spark, str(tmp_path / "none")).collect()] == [-1]
