@@ -8,8 +8,9 @@ neighbouring values, which is the longest repeat that starts there; where the re
 starts a word earlier, it is a maximal repeated substring. The union of their spans is the covered part of the text.
 
 Defined results: a null or empty text has no words and fails the base rules. Repeated rows are judged alike, each for
-itself. No row looks at another, so there are no groups, no shuffles and no skew. Memory is bounded by a slice of
-about two megabytes of text, or by one text if that is longer.
+itself. An empty table gives none; other columns, whatever their names, are ignored unless `keep` names them. No row looks at
+another, so there are no groups, no shuffles and no skew. Memory is bounded by a slice of about two megabytes of text, or by one
+text if that is longer: some twenty numbers for each word, and one more for each doubling up to the longest repeat.
 """
 
 from __future__ import annotations
@@ -19,9 +20,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tenantgraph.llm.shared import slices
+from tenantgraph.llm.shared import named, slices
 
 SYMBOLS = b"#*$%&|<>"
 _NOT_IN_WORDS = bytes([*range(0x80, 0xC0), *b" \t\n\x0b\x0c\r"])  # with the continuation bytes gone, bytes are code points
@@ -121,7 +121,7 @@ def quality_rules(
     text holds twice or more. The method's verdict: maximal repeated substrings of min_repeat words or more cover at
     most max_covered_percent of the words, and the longest has at most max_longest words.
     """
-    read = docs.select(F.col(id_col), F.col(text_col).cast("binary").alias("__tg_text"), *[F.col(c).alias(f"__tg_keep{i}") for i, c in enumerate(keep)])
+    read = docs.select(named(id_col).alias(id_col), named(text_col).cast("binary").alias("__tg_text"), *[named(c).alias(f"__tg_keep{i}") for i, c in enumerate(keep)])
     kinds = {f.name: f.dataType.simpleString() for f in read.schema}
     measures = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, covered_words long, longest_repeat long, base_failed boolean, kept boolean"
     schema = ", ".join([f"`{id_col}` {kinds[id_col]}", *[f"`{c}` {kinds[f'__tg_keep{i}']}" for i, c in enumerate(keep)], measures])

@@ -12,11 +12,14 @@ fingerprints (near copies by the thousand) is cut further: its members are dealt
 nibbles. A pair within 3 bits agrees on 13 nibbles, and different fingerprints that agree on 52 bits number 4096 at most,
 so no task ever holds more; nothing is capped.
 
-Components: alternating large-star and small-star rounds, each written to the shared folder.
+That pairs are met by triples of bytes and not by tallies of single ones is a deviation from the plain index, for the sizes of
+its postings; the tally then confirms what a triple has met.
+
+Components: alternating large-star and small-star rounds, each written to the shared folder in place of the one before.
 
 Defined results: a text with no words (null, empty, blank) has fingerprint zero and links like any other; one with fewer
 words than a shingle is hashed whole. Repeated rows share a fingerprint, so they share a component. A null id never
-becomes a component's name unless the component has no other.
+becomes a component's name unless the component has no other. An empty table gives none. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenantgraph.llm.shared import slices, stash
+from tenantgraph.llm.shared import mark, named, release, slices, stash
 
 TRIPLES = [t for half in (range(4), range(4, 8)) for t in combinations(half, 3)]
 NIBBLES = list(combinations(range(16), 3))
@@ -83,7 +86,7 @@ def fingerprints(texts: list[bytes | None], width: int = 3) -> np.ndarray:
 
 
 def with_fingerprints(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    read = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
+    read = docs.select(named(id_col).alias("id"), named(text_col).cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, 1, 1 << 20):
@@ -162,11 +165,13 @@ def candidate_edges(distinct: DataFrame, posting_limit: int) -> DataFrame:
 def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     """(node, root): each node that has an edge, and the smallest node it reaches."""
 
-    def mark(df: DataFrame) -> tuple:
+    def sums(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
+    spark = edges.sparkSession
+    begin = mark(spark)
     edges = stash(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "simhash-edges")
-    before = mark(edges)
+    before = sums(edges)
     for _ in range(max_rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -174,7 +179,8 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = stash(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "simhash-edges")
-        if (now := mark(edges)) == before:
+        release(spark, begin, but=1)  # of the rounds only the last is read again
+        if (now := sums(edges)) == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = now
     raise RuntimeError(f"no fixed point in {max_rounds} rounds")
@@ -192,6 +198,8 @@ def simhash_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
 
 def drop_near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the documents whose component has a smaller id. Rows that share an id stay or go together."""
-    gone = simhash_components(docs, id_col=id_col, text_col=text_col).where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    return docs.join(stash(gone, "simhash-gone"), id_col, "left_anti").select(*docs.columns)
+    """docs without the documents whose component has a smaller id. Rows that share an id stay or go together; rows without one stay.
+    Columns of any name pass through."""
+    found = simhash_components(docs.select(named(id_col).alias("id"), named(text_col).alias("text")), id_col="id", text_col="text")
+    gone = stash(found.where("id <> component_id").select(F.col("id").alias("__tg_gone")).distinct(), "simhash-gone")
+    return docs.join(gone, named(id_col) == F.col("__tg_gone"), "left_anti")
