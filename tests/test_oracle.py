@@ -34,3 +34,23 @@ def test_query(spark, db, name):
     said = db.sql(catalog.SQL[name])
     assert sorted(said.columns) == columns
     assert got == sorted(([_plain(r[said.columns.index(c)]) for c in columns] for r in said.fetchall()), key=str)
+
+
+@pytest.fixture(scope="module")
+def many(spark, tmp_path_factory):
+    """More documents of one tenant, and of each row policy, than a strict search may rank."""
+    path = str(tmp_path_factory.mktemp("many"))
+    text = "CASE WHEN id % 1000 = 7 THEN NULL WHEN id % 1000 = 9 THEN '' ELSE concat(repeat('Nation, ', int(id % 7)), repeat('stes ', int(id % 5)), repeat('thou-', int(id % 3)), repeat('nationstes ', int(id % 97))) END"
+    spark.range(24_000).selectExpr("id AS doc_id", f"{text} AS text", "if(id % 12 = 0, 'de', 'en') AS lang", "'web' AS source", "10L AS n_chars").write.parquet(f"{path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{path}/documents.parquet/*.parquet'")
+    return path, con
+
+
+@pytest.mark.parametrize("name", ["fulltext_bm25"])
+def test_full_text_over_a_tenant_beyond_the_ceiling(spark, many, name):
+    path, con = many
+    got, said = catalog.RUNS[name](spark, path), con.sql(catalog.SQL[name])
+    want = [[_plain(x) for x in r] for r in said.fetchall()]
+    assert said.columns == got.columns and len(want) == 10
+    assert [[_plain(x) for x in r] for r in got.collect()] == want
