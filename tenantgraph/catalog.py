@@ -635,7 +635,7 @@ def sparse_tenant_policy(spark, d):
 @query(_BM.replace("lang = 'en'", "lang = 'en' AND doc_id % 2 = 1") + "SELECT doc_id, round(score, 6) AS score, TRUE AS source_hidden FROM r ORDER BY r.score DESC, doc_id LIMIT 10")
 def fulltext_policy(spark, d):
     r = Resource("documents", DOCUMENT.attributes, "attribute", "lang", policy=Policy(row=lambda actor: F.col("doc_id") % 2 == actor, fields={"source": lambda actor: False}))
-    return fulltext(on(r, spark, d, "en", actor=1), "text", "Nation stes THOU", 10).select("doc_id", F.round("score", 6).alias("score"), F.col("source").isNull().alias("source_hidden"))
+    return fulltext(on(r, spark, d, "en", actor=1, strict=False), "text", "Nation stes THOU", 10).select("doc_id", F.round("score", 6).alias("score"), F.col("source").isNull().alias("source_hidden"))
 
 
 _ARMS = f"WITH a AS (SELECT vec_id, -list_cosine_distance({_E}, {_QS}) AS s FROM embeddings ORDER BY s DESC, vec_id LIMIT 20), b AS (SELECT vec_id, {_HITS} AS s FROM embeddings WHERE {_ANY} ORDER BY s DESC, vec_id LIMIT 20)"

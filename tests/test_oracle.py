@@ -47,7 +47,7 @@ def many(spark, tmp_path_factory):
     return path, con
 
 
-@pytest.mark.parametrize("name", ["fulltext_bm25"])
+@pytest.mark.parametrize("name", ["fulltext_bm25", "fulltext_policy"])
 def test_full_text_over_a_tenant_beyond_the_ceiling(spark, many, name):
     path, con = many
     got, said = catalog.RUNS[name](spark, path), con.sql(catalog.SQL[name])
